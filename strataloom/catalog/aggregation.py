@@ -11,7 +11,7 @@ from strataloom.operators import aggregates as agg
 from strataloom.operators.joins import star_join
 
 def net():
-    return numbers.net_amount("l_extendedprice", "l_discount")
+    return numbers.net_price("l_extendedprice", "l_discount")
 
 
 @query("g01_count", "SELECT COUNT(*) AS n FROM lineitem")
@@ -31,7 +31,7 @@ def daily_store_sales(t):
     cross the shuffle and needs the shuffle on the order key only once.
     """
     per_order = t.lineitem.groupBy("l_orderkey").agg(
-        F.count("*").alias("lines"), F.sum(numbers.money("l_quantity")).alias("qty"), F.sum(net()).alias("net")
+        F.count("*").alias("lines"), numbers.exact_sum("l_quantity").alias("qty"), numbers.exact_sum(net(), 4).alias("net")
     )
     wide = star_join(
         per_order, (t.orders, "l_orderkey", "o_orderkey"), (t.customer, "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey")
@@ -68,7 +68,7 @@ def g04(t):
         .agg(
             F.count("*").alias("sale_count"),
             numbers.total("l_quantity").alias("quantity"),
-            numbers.total_amount(net()).alias("revenue"),
+            numbers.total(net(), 4).alias("revenue"),
             numbers.mean("l_extendedprice").alias("avg_price"),
         )
     )
@@ -90,7 +90,7 @@ def g05(t):
 )
 def g06(t):
     """Orders are reduced to one row per customer first; then a plain count replaces COUNT(DISTINCT)."""
-    per_customer = t.orders.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.sum(numbers.money("o_totalprice")).alias("sales"))
+    per_customer = t.orders.groupBy("o_custkey").agg(F.count("*").alias("orders"), numbers.exact_sum("o_totalprice").alias("sales"))
     joined = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     grouped = joined.groupBy("c_mktsegment").agg(
         F.count("*").alias("customers"), F.sum("orders").alias("orders"), F.sum("sales").alias("sales_exact")
@@ -114,7 +114,7 @@ def g06(t):
     """,
 )
 def g07(t):
-    groups = t.orders.groupBy("o_orderpriority").agg(F.sum(numbers.money("o_totalprice")).alias("sales"))
+    groups = t.orders.groupBy("o_orderpriority").agg(numbers.exact_sum("o_totalprice").alias("sales"))
     return agg.share_of_total(groups, "sales").withColumn("sales", F.col("sales").cast("double"))
 
 
@@ -165,7 +165,7 @@ def g11(t):
 def g12(t):
     """The fact is summed per customer before the outer join, so a customer with many orders is one row there."""
     orders = t.orders.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
-    sums = orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum(numbers.money("o_totalprice")).alias("s"))
+    sums = orders.groupBy("o_custkey").agg(F.count("*").alias("n"), numbers.exact_sum("o_totalprice").alias("s"))
     return t.customer.join(sums, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey", F.coalesce("n", F.lit(0)).cast("bigint").alias("order_count"), F.coalesce(F.col("s").cast("double"), F.lit(0.0)).alias("sales")
     )
@@ -269,4 +269,4 @@ def g18(t):
     f"SELECT l_orderkey, COUNT(*) AS line_count, {SQL_REVENUE} AS order_total FROM lineitem GROUP BY 1",
 )
 def g19(t):
-    return t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("line_count"), numbers.total_amount(net()).alias("order_total"))
+    return t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("line_count"), numbers.total(net(), 4).alias("order_total"))

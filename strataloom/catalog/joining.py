@@ -11,7 +11,7 @@ from strataloom.operators import joins
 from strataloom.plans.scd import scd2_from_snapshots
 
 def revenue():
-    return numbers.net_amount("l_extendedprice", "l_discount")
+    return numbers.net_price("l_extendedprice", "l_discount")
 
 
 @query(
@@ -44,7 +44,7 @@ def j02(t):
         (t.customer, "o_custkey", "c_custkey"),
         (t.nation, "c_nationkey", "n_nationkey"),
     )
-    return wide.select("l_orderkey", "l_linenumber", "o_orderpriority", "p_name", "s_name", "c_name", "n_name", revenue().cast("double").alias("net"))
+    return wide.select("l_orderkey", "l_linenumber", "o_orderpriority", "p_name", "s_name", "c_name", "n_name", numbers.tidy(revenue(), 4).alias("net"))
 
 
 @query(
@@ -265,7 +265,7 @@ def j13(t):
         (geography("customer"), "c_nationkey", "customer_nation"),
     )
     return wide.groupBy("customer_region", "supplier_region", "p_type", F.year("o_orderdate").cast("bigint").alias("order_year")).agg(
-        F.count("*").alias("line_count"), numbers.total_amount(revenue()).alias("revenue")
+        F.count("*").alias("line_count"), numbers.total(revenue(), 4).alias("revenue")
     )
 
 

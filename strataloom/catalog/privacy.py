@@ -14,7 +14,7 @@ SQL_PEOPLE = """
     SELECT c_custkey AS user_id, c_name AS full_name,
            CASE WHEN c_acctbal < 0 THEN '' ELSE lower(replace(c_name, '#', '.')) END || '@' || lower(c_mktsegment) || '.example.com' AS email,
            '+372' || lpad(CAST(c_custkey AS VARCHAR), 10, '5') AS phone, c_mktsegment AS city, 'Country ' || c_nationkey AS country,
-           CAST(DATE '2020-01-15' + CAST(c_custkey % 900 AS INTEGER) AS DATE) AS registered_on, CAST(c_acctbal AS INTEGER) AS balance
+           CAST(DATE '2020-01-15' + CAST(c_custkey % 900 AS INTEGER) AS DATE) AS registered_on, CAST(floor(c_acctbal) AS INTEGER) AS balance
     FROM customer
 """
 
@@ -30,7 +30,7 @@ def people(t):
         F.col("c_mktsegment").alias("city"),
         F.concat(F.lit("Country "), F.col("c_nationkey")).alias("country"),
         F.date_add(F.lit("2020-01-15").cast("date"), F.pmod("c_custkey", F.lit(900)).cast("int")).alias("registered_on"),
-        F.round(F.col("c_acctbal"), 0).cast("int").alias("balance"),
+        F.floor("c_acctbal").cast("int").alias("balance"),
     )
 
 

@@ -24,7 +24,7 @@ def p02(t):
     return t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
-        numbers.net_amount("l_extendedprice", "l_discount").cast("double").alias("line_amount"),
+        numbers.tidy(numbers.net_price("l_extendedprice", "l_discount"), 4).alias("line_amount"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
     )
 
@@ -213,7 +213,7 @@ SQL_PART_REVENUE = f"""
 def part_revenue(t):
     """Lines are summed per part key before the join, so part meets one row per key."""
     sums = t.lineitem.groupBy("l_partkey").agg(
-        numbers.total("l_quantity").alias("quantity"), numbers.total_amount(numbers.net_amount("l_extendedprice", "l_discount")).alias("revenue")
+        numbers.total("l_quantity").alias("quantity"), numbers.total(numbers.net_price("l_extendedprice", "l_discount"), 4).alias("revenue")
     )
     return sums.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "p_name", "p_brand", "p_type", "quantity", "revenue")
 
@@ -286,7 +286,7 @@ def u02(t):
         Rule("price_low", F.col("o_totalprice") < 50000, "price", F.col("o_totalprice").cast("string")),
         Rule("priority_unset", F.col("o_orderpriority") == "4-NOT SPECIFIED", "priority", F.col("o_orderpriority")),
     ]
-    return violations(apply_rules(t.orders, rules), ["o_orderkey"]).select("o_orderkey", "rule_name")
+    return violations(apply_rules(t.orders, rules), rules, ["o_orderkey"]).select("o_orderkey", "rule_name")
 
 
 SQL_KEYS_A = "SELECT DISTINCT c_custkey AS key_value FROM customer WHERE c_acctbal > 0"

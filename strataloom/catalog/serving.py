@@ -12,9 +12,9 @@ from strataloom.plans.metrics import Metric, Ratio, drill_down, measure
 
 def sales_facts(t):
     """One row per order: lines are summed before they meet the dimensions."""
+    net = numbers.net_price("l_extendedprice", "l_discount")
     per_order = t.lineitem.groupBy("l_orderkey").agg(
-        F.sum(numbers.net_amount("l_extendedprice", "l_discount")).alias("net"),
-        F.sum(F.when(F.col("l_returnflag") == "R", numbers.net_amount("l_extendedprice", "l_discount"))).alias("returned"),
+        numbers.exact_sum(net, 4).alias("net"), numbers.exact_sum(F.when(F.col("l_returnflag") == "R", net), 4).alias("returned")
     )
     return star_join(
         per_order,

@@ -22,7 +22,7 @@ def day_region_sales(t):
     wide = star_join(
         t.orders, (t.customer, "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey"), (t.region, "n_regionkey", "r_regionkey")
     )
-    return wide.groupBy(F.to_date("o_orderdate").alias("order_date"), "r_name").agg(F.sum(numbers.money("o_totalprice")).alias("day_sales"))
+    return wide.groupBy(F.to_date("o_orderdate").alias("order_date"), "r_name").agg(numbers.exact_sum("o_totalprice").alias("day_sales"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,23 +16,46 @@ def money(col: str | Column) -> Column:
     return _col(col).cast(MONEY)
 
 
+def net_price(price: str | Column, discount: str | Column) -> Column:
+    """price x (1 - discount)."""
+    return _col(price) * (F.lit(1) - _col(discount))
+
+
 def net_amount(price: str | Column, discount: str | Column) -> Column:
     """price x (1 - discount) as a four-place decimal."""
-    return (_col(price) * (F.lit(1) - _col(discount))).cast(AMOUNT)
+    return net_price(price, discount).cast(AMOUNT)
 
 
-def total(col: str | Column) -> Column:
-    """Exact sum of a money column, returned as double."""
-    return F.sum(money(col)).cast("double")
+def exact_sum(col: str | Column, places: int = 2) -> Column:
+    """Sum of values with at most `places` decimals, free of rounding errors.
 
+    Values are added as whole units (cents), which is much cheaper than turning
+    every double into a decimal; the decimal sum cannot overflow.
+    """
+    return F.sum(_units(col, places)) * _unit(places)
 
-def total_amount(col: str | Column) -> Column:
-    return F.sum(_col(col)).cast("double")
+
+def total(col: str | Column, places: int = 2) -> Column:
+    """Exact sum, returned as double."""
+    return exact_sum(col, places).cast("double")
 
 
 def mean(col: str | Column, places: int = 2) -> Column:
     """Rounded average of a money column."""
-    return F.round(F.avg(money(col)), places).cast("double")
+    return F.round(F.avg(_units(col, 2)) * _unit(2), places).cast("double")
+
+
+def tidy(col: str | Column, places: int) -> Column:
+    """Double with its floating-point noise removed, for values that have at most `places` decimals."""
+    return F.floor(_col(col) * float(10**places) + 0.5) / F.lit(float(10**places))
+
+
+def _units(col: str | Column, places: int) -> Column:
+    return F.floor(_col(col) * float(10**places) + 0.5).cast("decimal(18,0)")
+
+
+def _unit(places: int) -> Column:
+    return F.lit(Decimal(1).scaleb(-places))
 
 
 def round_half_up(col: str | Column, places: int) -> Column:

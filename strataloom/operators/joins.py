@@ -96,23 +96,29 @@ def asof_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "inner",
+    grain: str = "year",
 ) -> DataFrame:
     """Pair each fact with the version of its key that was valid on its date, both ends included.
 
-    Validity is spread over the months it covers, cut to the months that occur
-    in the fact, and the join runs on (key, month). A key with a third of all
-    facts is thereby spread over its months, a fact meets only the versions of
-    its own month, and the join stays an equi join: broadcast if the versions
-    are small by Catalyst's own estimate, shuffled otherwise.
+    Validity is spread over the years (or months) it covers, cut to the span of
+    the fact, and the join runs on (key, year). A key with a third of all facts
+    is thereby spread over its years, and a fact meets only the versions of its
+    own year. A version that ends before the next one starts adds at most one
+    row per year of its key, so the spread side stays about as large as the
+    versions. It remains an equi join: broadcast if the versions are small by
+    Catalyst's own estimate, shuffled otherwise.
     """
-    horizon = fact.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    lo = F.greatest(F.col(valid_from), horizon.select(F.trunc("lo", "MM")).scalar())
-    hi = F.least(F.col(valid_to), horizon.select("hi").scalar())
-    months = F.sequence(F.trunc(lo, "MM"), F.trunc(hi, "MM"), F.expr("interval 1 month"))
-    spread = versions.where(lo <= hi).withColumn("_month", F.explode(months))
+    if grain not in ("year", "month"):
+        raise ValueError(f"unknown grain {grain!r}")
+    unit = "YEAR" if grain == "year" else "MM"
+    span = fact.agg(F.struct(F.trunc(F.min(at), unit).alias("lo"), F.max(at).alias("hi"))).scalar()
+    lo = F.greatest(F.col(valid_from), span["lo"])
+    hi = F.least(F.col(valid_to), span["hi"])
+    periods = F.sequence(F.trunc(lo, unit), F.trunc(hi, unit), F.expr(f"interval 1 {grain}"))
+    spread = versions.where(lo <= hi).withColumn("_period", F.explode(periods))
     on = (
         (F.col(key) == F.col(version_key))
-        & (F.trunc(F.col(at), "MM") == F.col("_month"))
+        & (F.trunc(F.col(at), unit) == F.col("_period"))
         & F.col(at).between(F.col(valid_from), F.col(valid_to))
     )
-    return fact.join(spread, on, how).drop("_month")
+    return fact.join(spread, on, how).drop("_period")

@@ -58,42 +58,56 @@ def mark_duplicates(df: DataFrame, key: str, flag: str) -> DataFrame:
     return joined.withColumn(flag, F.col("_key").isNotNull()).drop("_key")
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule], issues: str = "issues") -> DataFrame:
-    """Add the failed rules of each row as an array, all rules in one pass."""
-    found = [
-        F.when(r.fails, F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.message).alias("issue_message"), r.value.alias("failed_value")))
+def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Test all rules in one pass: `failed` holds a flag per rule, `issue_count` their number.
+
+    Only flags are kept per row. Texts are made later and for failing rows alone.
+    """
+    flags = [F.coalesce(r.fails, F.lit(False)).alias(r.name) for r in rules]
+    flagged = df.withColumn("failed", F.struct(*flags))
+    return flagged.withColumn("issue_count", sum((F.col("failed")[r.name].cast("int") for r in rules), F.lit(0)))
+
+
+def violations(checked: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
+    """One row per failed rule with its message and the value that failed."""
+    issues = [
+        F.struct(
+            F.col("failed")[r.name].alias("_hit"),
+            F.lit(r.name).alias("rule_name"),
+            F.lit(r.message).alias("issue_message"),
+            r.value.alias("failed_value"),
+        )
         for r in rules
     ]
-    return df.withColumn(issues, F.filter(F.array(*found), lambda x: x.isNotNull()))
-
-
-def violations(checked: DataFrame, keep: Sequence[str], issues: str = "issues") -> DataFrame:
-    """One row per failed rule."""
-    return checked.select(*keep, F.inline(issues))
+    rows = checked.where(F.col("issue_count") > 0).select(*keep, F.inline(F.array(*issues)))
+    return rows.where("_hit").drop("_hit")
 
 
-def issue_summary(failed: DataFrame) -> DataFrame:
-    return failed.groupBy("rule_name").agg(F.count(F.lit(1)).alias("failed_rows"))
+def issue_summary(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Failing rows per rule, counted from the flags; rules that never fail are left out."""
+    counts = checked.agg(*[F.count_if(F.col("failed")[r.name]).alias(r.name) for r in rules])
+    pairs = F.array(*[F.struct(F.lit(r.name).alias("rule_name"), F.col(r.name).alias("failed_rows")) for r in rules])
+    return counts.select(F.inline(pairs)).where("failed_rows > 0")
 
 
-def clean_rows(checked: DataFrame, issues: str = "issues") -> DataFrame:
-    return checked.where(F.size(issues) == 0).drop(issues)
+def clean_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("issue_count") == 0).drop("failed", "issue_count")
 
 
-def quarantine(checked: DataFrame, keep: Sequence[str], issues: str = "issues") -> DataFrame:
+def quarantine(checked: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
     """Rejected rows with the ordered list of the rules they break."""
-    names = F.array_join(F.array_sort(F.transform(issues, lambda x: x["rule_name"])), ", ")
-    return checked.where(F.size(issues) > 0).select(*keep, names.alias("failed_rules"))
+    names = [F.when(F.col("failed")[n], n) for n in sorted(r.name for r in rules)]
+    return checked.where(F.col("issue_count") > 0).select(*keep, F.array_join(F.array(*names), ", ").alias("failed_rules"))
 
 
-def overview(checked: DataFrame, issues: str = "issues") -> DataFrame:
+def overview(checked: DataFrame) -> DataFrame:
     """Raw, clean and rejected rows, rule failures and reject percent, from one pass."""
-    bad = F.size(issues) > 0
+    bad = F.col("issue_count") > 0
     counts = checked.agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(~bad).alias("clean_rows"),
         F.count_if(bad).alias("rejected_rows"),
-        F.coalesce(F.sum(F.size(issues)), F.lit(0)).cast("bigint").alias("rule_failures"),
+        F.coalesce(F.sum("issue_count"), F.lit(0)).cast("bigint").alias("rule_failures"),
     )
     return counts.withColumn("rejected_pct", percent("rejected_rows", "raw_rows", 2))
 
