@@ -25,13 +25,9 @@ def sales_facts(t):
     )
 
 
-def as_double(col):
-    return F.sum(col).cast("double")
-
-
-NET_REVENUE = Metric("net_revenue", as_double, "net")
+NET_REVENUE = Metric("net_revenue", F.sum, "net", result="double")
 ORDER_COUNT = Metric("order_count", F.count, "o_orderkey")
-RETURNED = Metric("returned_value", as_double, "returned")
+RETURNED = Metric("returned_value", F.sum, "returned", result="double")
 URGENT_ORDERS = Metric("urgent_orders", F.count, "o_orderkey", where="o_orderpriority = '1-URGENT'")
 AVG_ORDER = Ratio("avg_order_value", NET_REVENUE, ORDER_COUNT)
 

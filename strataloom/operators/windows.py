@@ -124,15 +124,19 @@ def global_row_number(df: DataFrame, order: Sequence[str], alias: str, partition
     """1..n in the order given, without bringing the rows into one task.
 
     Rows are range partitioned and numbered inside their partition; the row
-    counts of the partitions before are then added. The sorted rows are written
-    to the shared folder first, because a second evaluation could place the
-    range limits elsewhere. The broadcast side has one row per partition.
+    counts of the partitions before are then added. A row number as last range
+    column lets many rows that are equal in the order spread over partitions.
+    The sorted rows are written to the shared folder first, because a second
+    evaluation could place the range limits elsewhere. The broadcast side has
+    one row per partition.
     """
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    position = F.monotonically_increasing_id()
+    by = [*order, "_tie"]
+    df = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     numbered = cut_lineage(
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_position", position)
+        ranged.sortWithinPartitions(*by)
+        .drop("_tie")
+        .withColumn("_position", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_position", 33))
         .withColumn("_position", F.col("_position").bitwiseAND(F.lit((1 << 33) - 1)))
     )

@@ -25,9 +25,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], latest_by:
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the source rows whose key the target does not have; repeats in the source are added once."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti").dropDuplicates(list(keys))
-    return target.unionByName(fresh)
+    """Add the source rows whose key the target does not have.
+
+    Of several source rows with one key the smallest is taken, so that a rerun
+    picks the same one.
+    """
+    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+    others = [c for c in source.columns if c not in keys]
+    return target.unionByName(first_per_key(fresh, keys, others or list(keys)))
 
 
 def merge_rows(target: DataFrame, updates: DataFrame, key: str, set_columns: Sequence[str]) -> DataFrame:

@@ -117,7 +117,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
     Columns are turned into (column, value) pairs and counted per value first:
     repeated values shrink before the shuffle, and all statistics follow from
-    the counts in the same job.
+    the counts in the same job. Long texts are counted by their SHA-256, so that
+    whole documents are not shuffled.
     """
     kinds = dict(df.dtypes)
     names = list(columns or df.columns)
@@ -127,7 +128,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.col(c).cast("string").alias("value"),
+                _count_key(c, kinds[c]).alias("value"),
                 (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("number"),
                 (F.length(c).cast("bigint") if kinds[c] == "string" else F.lit(None).cast("bigint")).alias("text_length"),
             )
@@ -165,6 +166,11 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def _count_key(column: str, kind: str) -> Column:
+    text = F.col(column).cast("string")
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text) if kind == "string" else text
+
+
 def load_verdict(df: DataFrame, column: str) -> DataFrame:
     """Row count, NULLs of a required column and OK or WARNING."""
     missing = F.count_if(F.col(column).isNull())

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataloom.operators.windows import first_per_key
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -33,19 +35,22 @@ def run_keyed(stream: DataFrame, target: str, checkpoint: str, key: str, day: st
 
     Delivering a batch twice, or the whole input again under a new checkpoint,
     adds nothing. Only the day folders that a batch touches are read back, and
-    of them only the key.
+    of them only the key; a key must therefore keep its day. The list of days
+    that reaches the driver is no longer than the calendar of the batch.
     """
     spark = stream.sparkSession
     spark.createDataFrame([], stream.schema).write.mode("append").partitionBy(day).parquet(target)
     schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key])
-        span = fresh.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-        if span["lo"] is None:
-            return
-        known = spark.read.schema(schema).parquet(target).where(F.col(day).between(F.lit(span["lo"]), F.lit(span["hi"]))).select(key)
-        (fresh.join(known, key, "left_anti").select(schema.names).hint("rebalance", day).write.mode("append").partitionBy(day).parquet(target))
+        fresh = first_per_key(batch, [key], [c for c in schema.names if c != key]).persist()
+        days = [r[0] for r in fresh.select(day).distinct().collect()]
+        touched = F.col(day).isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col(day).isNull()
+        known = spark.read.schema(schema).parquet(target).where(touched).select(key)
+        fresh.join(known, key, "left_anti").select(schema.names).hint("rebalance", day).write.mode("append").partitionBy(day).parquet(target)
+        fresh.unpersist()
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -81,3 +81,11 @@ def test_first_per_key(rows):
     first = win.first_per_key(rows, ["user"], [F.desc("ts"), F.desc("id")])
     w = Window.partitionBy("user").orderBy(F.desc("ts"), F.desc("id"))
     _same(first, rows.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n"))
+
+
+def test_global_row_number_of_equal_rows(spark):
+    many = spark.range(5000).select(F.lit("same").alias("k"))
+    numbered = win.global_row_number(many.union(spark.createDataFrame([("a",), ("z",)], "k string")), ["k"], "n", 6)
+    got = sorted((r.n, r.k) for r in numbered.collect())
+    assert [n for n, _ in got] == list(range(1, 5003))
+    assert got[0][1] == "a" and got[-1][1] == "z"
