@@ -1,10 +1,11 @@
 """Window operators that stay even when one key holds a third of all rows.
 
 Top-n and latest-row use `row_number` with a bound, which Spark turns into a
-group limit before the shuffle. Functions that need the whole group (lag,
-running sum, rank) are cut into slices of the order value: the work inside a
-slice is an ordinary window, and one small row per (key, slice) carries the
-result of the slices before it.
+group limit before the shuffle. Functions that need the whole group (lag, lead,
+running sum) stay ordinary windows unless a key is hot. The group of a hot key
+is cut into slices of the order value: the work inside a slice is an ordinary
+window, and one small row per (key, slice) carries the result of the slices
+before it. Ranks always work on slices, over distinct values with their counts.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from strataloom.session import cut_lineage
 
 Order = Sequence[str | Column]
 
+# Rows of one key that a single task may sort, and rows that may be broadcast.
+ROWS_PER_TASK = 2_000_000
+BROADCAST_ROWS = 100_000
+
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Order, n: int, rank_as: str | None = None) -> DataFrame:
     """The first n rows of each group; `order` must end with a tie break."""
@@ -38,61 +43,99 @@ def magnitude_slice(col: str | Column, per_doubling: int = 256) -> Column:
     return F.signum(x).cast("bigint") * F.floor(F.log2(F.lit(1.0) + F.abs(x)) * per_doubling)
 
 
-def hour_slice(col: str | Column) -> Column:
-    return F.date_trunc("hour", F.col(col) if isinstance(col, str) else col)
+def time_position(col: str | Column) -> Column:
+    """Place of a timestamp on a number line."""
+    return F.unix_micros((F.col(col) if isinstance(col, str) else col).cast("timestamp")).cast("double")
+
+
+def lag_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """`lag(value)` over keys and order; `position` is a number that never falls along `order`."""
+    return _neighbour(df, keys, order, value, position, alias, rows_per_task, back=True)
+
+
+def lead_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """`lead(value)` over keys and order; `position` is a number that never falls along `order`."""
+    return _neighbour(df, keys, order, value, position, alias, rows_per_task, back=False)
 
 
-def sliced_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, slice_by: Column, alias: str) -> DataFrame:
-    """`lag(value)` over keys and order; `slice_by` must not fall as `order` grows."""
-    return _neighbour(df, keys, order, value, slice_by, alias, back=True)
+def running_sum_in_group(
+    df: DataFrame, keys: Sequence[str], order: str, measure: str, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Running sum over keys by order, equal order values taken together (the RANGE frame).
 
+    `position` is a number that never falls along `order` and depends on it alone.
+    """
+    sliced = _slice_hot_keys(df, keys, position, rows_per_task)
+    if sliced is None:
+        w = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(alias, F.sum(measure).over(w))
+    return _sliced_sum(sliced, keys, F.col(order).asc(), measure, alias)
 
-def sliced_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, slice_by: Column, alias: str) -> DataFrame:
-    """`lead(value)` over keys and order; `slice_by` must not fall as `order` grows."""
-    return _neighbour(df, keys, order, value, slice_by, alias, back=False)
 
+def _slice_hot_keys(df: DataFrame, keys: Sequence[str], position: Column, rows_per_task: int) -> DataFrame | None:
+    """Cut the groups of hot keys into slices of position; None if no key is hot.
 
-def _neighbour(df, keys, order, value, slice_by, alias, back: bool) -> DataFrame:
+    A key is hot with more than `rows_per_task` rows, so there are at most
+    rows / rows_per_task hot keys. They are found with map-side partial counts
+    and written down, so that every use sees the same limits. A hot key gets
+    slices in proportion to its rows; all other keys stay whole in slice 0.
+    """
+    n = F.count(F.lit(1))
+    per_key = df.groupBy(F.struct(*keys).alias("_key")).agg(n.alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
+    hot = cut_lineage(per_key.where(F.col("_n") > rows_per_task))
+    hot_count = hot.count()
+    if hot_count == 0:
+        return None
+    if hot_count <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    slices = F.ceil(F.col("_n") / rows_per_task) * 4
+    share = F.coalesce(F.try_divide(position - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    number = F.when(F.col("_n").isNull() | position.isNull(), F.lit(0)).otherwise(F.least(F.floor(share * slices), slices - 1) + 1)
+    tagged = df.withColumn("_key", F.struct(*keys)).join(hot, "_key", "left")
+    return tagged.withColumn("_slice", number.cast("bigint")).withColumn("_hot", F.col("_n").isNotNull()).drop("_n", "_lo", "_hi")
+
+
+def _neighbour(df, keys, order, value, position, alias, rows_per_task, back: bool) -> DataFrame:
     v = F.col(value) if isinstance(value, str) else value
-    df = df.withColumn("_slice", slice_by).withColumn("_value", v)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     step = F.lag if back else F.lead
-    rows = df.withColumn("_near", step("_value").over(inside)).withColumn("_edge", step(F.lit(True)).over(inside).isNull())
+    sliced = _slice_hot_keys(df, keys, position, rows_per_task)
+    if sliced is None:
+        return df.withColumn(alias, step(v).over(Window.partitionBy(*keys).orderBy(*order)))
+
+    sliced = sliced.withColumn("_value", v)
+    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
+    rows = sliced.withColumn("_near", step("_value").over(inside)).withColumn("_edge", step(F.lit(True)).over(inside).isNull())
 
     edge = F.max_by if back else F.min_by
-    across = Window.partitionBy(*keys).orderBy("_slice")
+    across = Window.partitionBy("_key").orderBy("_slice")
     carry = (
-        df.groupBy(*keys, "_slice")
+        sliced.where("_hot")
+        .groupBy("_key", "_slice")
         .agg(edge(F.struct("_value"), F.struct(*order)).alias("_last"))
-        .withColumn("_carry", step("_last").over(across)["_value"])
-        .drop("_last")
-    )
-    joined = rows.join(carry, null_safe_on(rows, carry, [*keys, "_slice"]), "left").select(rows["*"], carry["_carry"])
-    return joined.withColumn(alias, F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_near"))).drop(
-        "_slice", "_value", "_near", "_edge", "_carry"
+        .select("_key", "_slice", step("_last").over(across)["_value"].alias("_carry"))
     )
+    near = F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_near"))
+    return rows.join(carry, ["_key", "_slice"], "left").select(*df.columns, near.alias(alias))
 
 
-def sliced_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Column, measure: str, slice_by: Column, alias: str
-) -> DataFrame:
-    """Running sum over keys by order, equal order values taken together.
-
-    `slice_by` must not fall along `order`, and equal order values must share a
-    slice; an expression of the order value itself does both.
-    """
-    df = df.withColumn("_slice", slice_by)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = df.withColumn("_inside", F.sum(measure).over(inside))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+def _sliced_sum(sliced: DataFrame, keys: Sequence[str], order: Column, measure: str, alias: str) -> DataFrame:
+    """Running sum of rows tagged with `_key`, `_slice` and `_hot`."""
+    columns = [c for c in sliced.columns if c not in ("_key", "_slice", "_hot")]
+    inside = Window.partitionBy("_key", "_slice").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = sliced.withColumn("_inside", F.sum(measure).over(inside))
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        df.groupBy(*keys, "_slice").agg(F.sum(measure).alias("_sum")).withColumn("_before", F.sum("_sum").over(before)).drop("_sum")
-    )
-    joined = rows.join(carry, null_safe_on(rows, carry, [*keys, "_slice"]), "left").select(rows["*"], carry["_before"])
-    running = F.when(F.col("_before").isNull(), F.col("_inside")).otherwise(
-        F.col("_before") + F.coalesce(F.col("_inside"), F.lit(0))
+        sliced.where("_hot")
+        .groupBy("_key", "_slice")
+        .agg(F.sum(measure).alias("_sum"))
+        .select("_key", "_slice", F.sum("_sum").over(before).alias("_before"))
     )
-    return joined.withColumn(alias, running).drop("_slice", "_inside", "_before")
+    running = F.when(F.col("_before").isNull(), F.col("_inside")).otherwise(F.col("_before") + F.coalesce(F.col("_inside"), F.lit(0)))
+    return rows.join(carry, ["_key", "_slice"], "left").select(*columns, running.alias(alias))
 
 
 def rank_in_group(
@@ -107,16 +150,17 @@ def rank_in_group(
     slice_no = magnitude_slice(measure)
     slice_no = F.coalesce(-slice_no if descending else slice_no, F.lit(2**62))
     order = F.col(measure).desc_nulls_last() if descending else F.col(measure).asc_nulls_last()
-    summed = sliced_running_sum(counts, keys, order, "_weight", slice_no, "_upto")
+    sliced = counts.withColumn("_key", F.struct(*keys)).withColumn("_slice", slice_no).withColumn("_hot", F.lit(True))
+    summed = _sliced_sum(sliced, keys, order, "_weight", "_upto")
     position = F.col("_upto") if dense else F.col("_upto") - F.col("_n") + 1
     ranks = summed.select(*keys, measure, position.cast("bigint").alias(alias))
     return df.join(ranks, null_safe_on(df, ranks, [*keys, measure]), "inner").select(df["*"], ranks[alias])
 
 
-def running_sum_in_group(df: DataFrame, keys: Sequence[str], order: str, measure: str, alias: str) -> DataFrame:
-    """Running sum with the default RANGE frame, for input already grouped to
-    one row per key and calendar date, so a group is never longer than the calendar."""
-    w = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+def running_sum_by_date(df: DataFrame, keys: Sequence[str], day: str, measure: str, alias: str) -> DataFrame:
+    """Running sum for input already grouped to one row per key and date, so that
+    a group is never longer than the calendar."""
+    w = Window.partitionBy(*keys).orderBy(day).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(alias, F.sum(measure).over(w))
 
 

@@ -114,9 +114,14 @@ def check_date_range(start: dt.date, end: dt.date, first: dt.date, last: dt.date
 
 
 def backfill(build: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> str:
-    """Rebuild the days of a range in one job; running it again gives the same table."""
+    """Rebuild the days of a range in one job; running it again gives the same table.
+
+    A range that reaches outside the days of the source is refused.
+    """
     from strataloom.sources.sinks import replace_partitions
 
+    span = build.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    check_date_range(start, end, span["first"], span["last"])
     return replace_partitions(build.where(F.col(day).between(F.lit(start), F.lit(end))), path, [day])
 
 

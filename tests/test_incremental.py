@@ -158,3 +158,41 @@ def test_bad_csv_fails(spark):
 def test_shared_folder_is_taken_from_the_session(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert root and not new_dir(spark, "x") == new_dir(spark, "x")
+
+
+def test_backfill_outside_the_source_is_refused(spark):
+    rows = spark.createDataFrame([(1, D(2026, 4, 1)), (2, D(2026, 4, 2))], "id int, day date")
+    path = new_dir(spark, "fill")
+    with pytest.raises(ValueError, match="outside"):
+        inc.backfill(rows, path, "day", D(2026, 4, 1), D(2026, 4, 9))
+    inc.backfill(rows, path, "day", D(2026, 4, 2), D(2026, 4, 2))
+    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+
+
+class _Session:
+    """The few parts of a session that decide where tables are written."""
+
+    def __init__(self, setting, master):
+        self.conf = self.sparkContext = self
+        self.setting, self.master, self.folder = setting, master, None
+
+    def get(self, name, default):
+        assert name == "spark.checkpoint.dir"
+        return self.setting or default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_configured_folder_is_used():
+    session = _Session("hdfs://shared/checkpoints", "spark://m:7077")
+    assert new_dir(session, "x").startswith("hdfs://shared/checkpoints/x-")
+    assert session.folder == "hdfs://shared/checkpoints"
+
+
+def test_cluster_without_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_dir(_Session(None, "spark://m:7077"), "x")

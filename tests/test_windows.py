@@ -27,27 +27,45 @@ def _same(a, b):
     assert a.count() > 0
 
 
-def test_lag_and_lead(rows):
+@pytest.mark.parametrize("rows_per_task", [60, 10_000])
+def test_lag_and_lead(rows, rows_per_task):
     w = Window.partitionBy("user").orderBy("ts", "id")
+    place = win.time_position("ts")
     _same(
-        win.sliced_lag(rows, ["user"], ["ts", "id"], "value", win.hour_slice("ts"), "near"),
+        win.lag_in_group(rows, ["user"], ["ts", "id"], "value", place, "near", rows_per_task),
         rows.withColumn("near", F.lag("value").over(w)),
     )
     _same(
-        win.sliced_lead(rows, ["user"], ["ts", "id"], F.col("ts"), win.hour_slice("ts"), "near"),
+        win.lead_in_group(rows, ["user"], ["ts", "id"], F.col("ts"), place, "near", rows_per_task),
         rows.withColumn("near", F.lead("ts").over(w)),
     )
 
 
-def test_running_sum_takes_equal_times_together(rows):
+@pytest.mark.parametrize("rows_per_task", [20, 60, 10_000])
+def test_running_sum_takes_equal_times_together(rows, rows_per_task):
     w = Window.partitionBy("user").orderBy("ts")
     cents = rows.withColumn("cents", (F.col("value") * 4).cast("bigint"))
     _same(
-        win.sliced_running_sum(cents, ["user"], F.col("ts").asc(), "cents", win.hour_slice("ts"), "total"),
+        win.running_sum_in_group(cents, ["user"], "ts", "cents", win.time_position("ts"), "total", rows_per_task),
         cents.withColumn("total", F.sum("cents").over(w)),
     )
 
 
+def test_hot_key_is_spread_and_others_stay_whole(rows):
+    sliced = win._slice_hot_keys(rows, ["user"], win.time_position("ts"), 60)
+    per_slice = sliced.groupBy("user", "_slice").count().collect()
+    assert max(r["count"] for r in per_slice) < 60
+    assert len([r for r in per_slice if r.user == 1]) > 50
+    assert {r._slice for r in per_slice if r.user not in (1, None)} == {0}
+    assert win._slice_hot_keys(rows, ["user"], win.time_position("ts"), 5000) is None
+
+
+def test_hot_key_at_one_moment(spark):
+    rows = spark.range(500).select("id", F.lit(1).alias("user"), F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    lagged = win.lag_in_group(rows, ["user"], ["ts", "id"], "id", win.time_position("ts"), "near", 10)
+    assert lagged.where("near = id - 1").count() == 499 and lagged.where("near IS NULL").count() == 1
+
+
 @pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("dense", [True, False])
 def test_ranks(rows, descending, dense):
