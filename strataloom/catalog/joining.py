@@ -72,7 +72,7 @@ def j03(t):
     """,
 )
 def j04(t):
-    return t.customer.join(_urgent_finished(t), F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "o_orderkey")
+    return joins.left_join_many(t.customer, _urgent_finished(t), "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
 
 
 def _urgent_finished(t):
@@ -123,7 +123,7 @@ def j06(t):
     """,
 )
 def j07(t):
-    return t.customer.join(_urgent_finished(t), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return joins.without_match(t.customer, _urgent_finished(t), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query(
@@ -134,9 +134,10 @@ def j07(t):
     """,
 )
 def j08(t):
-    lines, orders = t.lineitem, t.orders
-    returned = lines.where((F.col("l_returnflag") == "R") & (F.col("l_orderkey") == F.col("o_orderkey").outer()))
-    return orders.where(~returned.exists()).select("o_orderkey")
+    """Each order with returns is one row before it is looked up."""
+    returned = t.lineitem.where("l_returnflag = 'R'").select("l_orderkey").distinct()
+    hit = returned.where(F.col("l_orderkey") == F.col("o_orderkey").outer())
+    return t.orders.where(~hit.exists()).select("o_orderkey")
 
 
 @query(

@@ -90,6 +90,7 @@ def top_k_ranked(df: DataFrame, order: Sequence[Column], k: int, alias: str = "r
 
 def key_sets(left: DataFrame, right: DataFrame) -> dict[str, DataFrame]:
     """Intersection and both differences of two key sets."""
+    left, right = left.distinct(), right.distinct()
     return {"both": left.intersect(right), "left_only": left.subtract(right), "right_only": right.subtract(left)}
 
 

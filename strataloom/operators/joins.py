@@ -25,8 +25,25 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left outer join for a right side in which one key may have very many rows.
+
+    AQE can split a hot key on either side of an inner join, but not on the
+    right of an outer one. So the matches come from an inner join, and the rows
+    without a match from an anti join with the distinct keys.
+    """
+    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
+    return matched.unionByName(without_match(left, right, left_key, right_key), allowMissingColumns=True)
+
+
+def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left anti join; the right side is reduced to its distinct keys before the shuffle."""
+    keys = right.select(F.col(right_key).alias("_right_key")).distinct()
+    return left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
+
+
 def orphans(child: DataFrame, parent: DataFrame, foreign_key: str, key: str) -> DataFrame:
-    """Child rows whose key is set but missing in the parent."""
+    """Child rows whose key is set but missing in the parent, which holds each key once."""
     keys = parent.select(F.col(key).alias("_parent_key"))
     return child.where(F.col(foreign_key).isNotNull()).join(keys, F.col(foreign_key) == F.col("_parent_key"), "left_anti")
 

@@ -196,3 +196,18 @@ def test_configured_folder_is_used():
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         new_dir(_Session(None, "spark://m:7077"), "x")
+
+
+def test_preview_and_schema_of_a_source(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    assert files.preview(df, 1).count() == 1
+    assert {tuple(r) for r in files.schema_rows(df).collect()} == {(1, "n", "int", 2), (2, "s", "string", 2)}
+
+
+def test_period_comes_from_the_file_name(spark):
+    root = new_dir(spark, "periods")
+    for month in ("2026_03", "2026_04"):
+        spark.range(3).write.parquet(f"{root}/products_{month}")
+    paths = [f"{root}/products_{m}" for m in ("2026_03", "2026_04")]
+    loaded = files.read_period_files(spark, paths, r"products_(\d{4}_\d{2})", "period")
+    assert {(r.period, r["count"]) for r in loaded.groupBy("period").count().collect()} == {("2026_03", 3), ("2026_04", 3)}

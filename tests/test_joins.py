@@ -66,3 +66,13 @@ def test_first_match_takes_the_smallest(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     right = spark.createDataFrame([(1, 9), (1, 4)], "j int, e int")
     assert {(r.k, r.e) for r in joins.first_match(left, right, "k", "j", "e", "e").collect()} == {(1, 4), (2, None)}
+
+
+def test_left_join_of_a_hot_right_side(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,), (2,)], "k int")
+    right = spark.createDataFrame([(1, i) for i in range(50)] + [(None, 7), (3, 8)], "j int, v int")
+    got = joins.left_join_many(left, right, "k", "j")
+    plain = left.join(right, F.col("k") == F.col("j"), "left")
+    assert got.columns == plain.columns
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0 and got.count() == 53
+    assert sorted((r.k for r in joins.without_match(left, right, "k", "j").collect()), key=str) == [2, 2, None]
