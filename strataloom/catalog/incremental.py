@@ -6,13 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from strataloom.catalog.registry import query, sql_mean, sql_money, sql_round, sql_total
+from strataloom.catalog.registry import query, sql_mean, sql_round, sql_total
 from strataloom.catalog.sourcing import write_lines_by_month
 from strataloom.functions import numbers
 from strataloom.operators.aggregates import same_rows
 from strataloom.plans import incremental as inc
 from strataloom.session import new_dir
-from strataloom.sources import files, sinks
+from strataloom.sources import sinks
 
 CUT = "2024-01-16"
 
