@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
 from strataloom.llm.registry import ORACLE, QUERIES, query
 
@@ -23,3 +24,10 @@ __all__ = ["ORACLE", "QUERIES"]
 )
 def op7(spark, read):
     return exact_copies(read("documents")).drop("keep_rows")
+
+
+@query("op6_bpe_round_trip")
+def op6(spark, read):
+    """No SQL can tokenise; tests/llm compares with the tokenizers library."""
+    coded = round_trip(read("documents"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
