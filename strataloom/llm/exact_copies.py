@@ -67,15 +67,19 @@ def exact_copies(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = cut_lineage(recipes(docs).withColumn("rid", F.xxhash64("recipe")))
     doubtful = rows.select("rid", F.explode(F.array_distinct("recipe")).alias("name")).join(shared_names(docs), "name", "left_semi").select("rid").distinct()
-    # The digest of the whole text decides where a name is not verified.
-    keyed = rows.join(doubtful.withColumn("doubt", F.lit(True)), "rid", "left").select(
-        "doc_id", "text_sha256", "rid", "recipe", F.when(F.col("doubt"), F.col("text_sha256")).otherwise("").alias("whole")
-    )
-    same_id = keyed.groupBy("rid", "recipe", "whole", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    groups = same_id.groupBy("rid", "recipe", "whole").agg(
+    # Counts of equal rows first, so that no later shuffle meets a large group of copies.
+    same_id = rows.groupBy("rid", "recipe", "text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    texts = same_id.groupBy("rid", "recipe", "text_sha256").agg(
         F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size"), F.coalesce(F.max_by("n", "doc_id"), F.sum("n")).alias("keep_rows")
     )
-    return keyed.join(groups, ["rid", "recipe", "whole"]).select(
+    # The digest of the whole text decides where a name is not verified.
+    whole = F.when(F.col("doubt"), F.col("text_sha256")).otherwise("")
+    marked = texts.join(doubtful.withColumn("doubt", F.lit(True)), "rid", "left").withColumn("whole", whole)
+    groups = marked.groupBy("rid", "recipe", "whole").agg(
+        F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.coalesce(F.max_by("keep_rows", "keep_id"), F.sum("keep_rows")).alias("keep_rows")
+    )
+    equal = (rows["rid"] == groups["rid"]) & (rows["recipe"] == groups["recipe"]) & (groups["whole"].isin("") | (groups["whole"] == rows["text_sha256"]))
+    return rows.join(groups, equal).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "keep_rows"
     )
 
