@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
+from strataloom.llm.langid import identify
 from strataloom.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -31,3 +32,9 @@ def op6(spark, read):
     """No SQL can tokenise; tests/llm compares with the tokenizers library."""
     coded = round_trip(read("documents"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_language")
+def op9(spark, read):
+    """No SQL can train the models; tests/llm measures held-out accuracy."""
+    return identify(read("documents"))
