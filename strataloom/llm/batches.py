@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, "16m"
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -20,7 +20,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column, one text after the other, and the n + 1 bounds of the texts; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     n = len(column)
     if not n:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)

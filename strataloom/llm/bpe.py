@@ -5,9 +5,9 @@ so a text may be cut between such bytes. Whole texts are cut where the second
 byte is ASCII white space: the pre-tokenizer has no match that runs over such a
 place except a run of white space, and that run is cut by the pair itself. The
 fragments ("white space + word") are encoded independently, each different one
-once as long as a worker remembers it, and the ids are concatenated. Inside a
-fragment the pre-tokenizer's pieces are cut again at forced boundaries before
-merging. Only vocabularies with the byte-level pre-tokenizer are accepted.
+of a batch once, and the ids are concatenated. Inside a fragment the
+pre-tokenizer's pieces are cut again at forced boundaries, and the pieces of
+all fragments are merged together, round by round. Only vocabularies with the byte-level pre-tokenizer are accepted.
 
 Cases: a null text counts as empty and has no ids. Every row gives one row,
 repeated rows and null ids included; other columns are not looked at. Texts are
@@ -31,11 +31,17 @@ from pyspark.sql import DataFrame
 from strataloom.llm.batches import binary_column, gather, small_batches, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
-REMEMBERED = 600_000  # fragments whose ids a worker keeps; beyond it forgets them and begins anew
 LONG = 64  # bytes from which a piece is merged with a heap
 NEVER = 1 << 60
+SPREAD = 0x9E3779B97F4A7C15
+EMPTY = np.uint64((1 << 64) - 1)
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: White space, letters, digits and the rest, for bytes of ASCII and Latin-1 letters.
+CLASS = np.full(256, 3, np.uint8)
+CLASS[WHITE] = 0
+CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = 1
+CLASS[48:58] = 2
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,14 +51,33 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Ranks(dict):
-    """Merge rank of a pair of ids; pairs without a merge are remembered as never merging."""
-
-    def __missing__(self, pair: tuple[int, int]) -> int:
-        if len(self) > 2_000_000:
-            return NEVER
-        self[pair] = NEVER
-        return NEVER
+class MergeTable:
+    """Rank of many pairs of ids at a time: open addressing in flat arrays."""
+
+    def __init__(self, pairs: list[tuple[int, int]]):
+        self.shift = np.uint64(64 - max(4, (4 * len(pairs)).bit_length()))
+        self.keys = np.full(1 << (64 - int(self.shift)), EMPTY, np.uint64)
+        self.ranks = np.full(len(self.keys), NEVER, np.int64)
+        for rank, (a, b) in enumerate(pairs):
+            key = a << 32 | b
+            slot = (key * SPREAD & (1 << 64) - 1) >> int(self.shift)
+            while self.keys[slot] != EMPTY:
+                slot = (slot + 1) % len(self.keys)
+            self.keys[slot], self.ranks[slot] = key, rank
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        slot = ((key * np.uint64(SPREAD)) >> self.shift).astype(np.int64)
+        there = self.keys[slot]
+        out = np.where(there == key, self.ranks[slot], NEVER)
+        open_ = np.flatnonzero((there != key) & (there != EMPTY))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) % len(self.keys)
+            there = self.keys[slot[open_]]
+            hit = there == key[open_]
+            out[open_[hit]] = self.ranks[slot[open_[hit]]]
+            open_ = open_[~hit & (there != EMPTY)]
+        return out
 
 
 class ByteBPE:
@@ -81,79 +106,155 @@ class ByteBPE:
             for a, b in zip(token, token[1:], strict=False):
                 self.inside[a << 8 | b] = True
         vocab = model["vocab"]
-        self.byte_id = {b: vocab[c] for c, b in alphabet.items() if c in vocab}
-        self.ranks, self.merged = Ranks(), {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            key = (vocab[left], vocab[right])
-            self.ranks[key], self.merged[key] = rank, vocab[left + right]
+        self.byte_id = np.array([vocab[c] for c in sorted(alphabet, key=alphabet.get)], np.int64)
+        pairs = [tuple(vocab[x] for x in (m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        self.rank = {pair: rank for rank, pair in enumerate(pairs)}
+        self.merged = np.array([vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]], np.int64)
+        self.table = MergeTable(pairs)
         self.pieces = regex.compile(public_tokenizers.PATTERN)
         self.added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[bytes, bytes] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece: the pair of lowest rank is merged first, left before right."""
-        ids = [self.byte_id[b] for b in piece]
-        if len(ids) > LONG:
-            return self._merge_long(ids)
-        ranks, merged = self.ranks, self.merged
-        while len(ids) > 1:
-            best = min(zip(ids, ids[1:], strict=False), key=ranks.__getitem__)
-            new = merged.get(best)
-            if new is None:
-                break
-            first, second = best
-            i = 0
-            while i < len(ids) - 1:
-                if ids[i] == first and ids[i + 1] == second:
-                    ids[i : i + 2] = [new]
-                i += 1
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same over linked cells and a heap, for pieces of any length."""
+        self.odd_byte = np.zeros(256, bool)  # bytes that send a fragment to the pattern itself
+        self.odd_byte[[39, *{t.encode()[0] for t in self.special}, *range(0x80, 0xC3), *range(0xC4, 0x100)]] = True
+
+    def merge_long(self, piece: bytes) -> list[int]:
+        """Ids of one piece of any length: linked cells and a heap, lowest rank first, left before right."""
+        ids = self.byte_id[np.frombuffer(piece, np.uint8)].tolist()
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.ranks[ids[i], ids[i + 1]]) < NEVER]
+        heap = [(self.rank[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in self.rank]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= n or ids[j] != right:
                 continue
-            ids[i], ids[j] = self.merged[left, right], -1
+            ids[i], ids[j] = int(self.merged[rank]), -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for a in (before[i], i):
                 b = after[a] if a >= 0 else n
-                if b < n and (r := self.ranks[ids[a], ids[b]]) < NEVER:
-                    heapq.heappush(heap, (r, a, ids[a], ids[b]))
+                if b < n and (ids[a], ids[b]) in self.rank:
+                    heapq.heappush(heap, (self.rank[ids[a], ids[b]], a, ids[a], ids[b]))
         return [x for x in ids if x >= 0]
 
-    def fragment(self, text: str) -> list[int]:
-        """Ids of one fragment: added tokens, then pre-tokenizer pieces cut at forced boundaries."""
-        ids: list[int] = []
-        for part in self.added.split(text) if self.added else [text]:
-            if part in self.special:
-                ids.append(self.special[part])
+    def merge_short(self, ids: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many pieces at once and the piece of each; `piece` numbers the pieces and does not fall.
+
+        In each round every piece merges all places of its lowest rank: a pair
+        that holds a new id always ranks behind the pair that made it.
+        """
+        done_ids, done_piece = [], []
+        rank = np.full(len(ids), NEVER, np.int64)
+        inner = np.flatnonzero(piece[1:] == piece[:-1])
+        rank[inner] = self.table(ids[inner], ids[inner + 1])
+        while len(ids):
+            begins = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            low = np.minimum.reduceat(rank, begins)
+            width = np.diff(np.append(begins, len(ids)))
+            low = np.repeat(low, width)
+            ready = low == NEVER
+            if ready.any():
+                done_ids.append(ids[ready])
+                done_piece.append(piece[ready])
+                ids, piece, rank, low = ids[~ready], piece[~ready], rank[~ready], low[~ready]
+            at = np.flatnonzero(rank == low)
+            if not len(at):
                 continue
-            for match in self.pieces.findall(part):
-                raw = match.encode()
-                start = 0
-                for i in range(1, len(raw)):
-                    if not self.inside[raw[i - 1] << 8 | raw[i]]:
-                        ids += self.merge(raw[start:i])
-                        start = i
-                ids += self.merge(raw[start:])
-        return ids
+            touching = np.flatnonzero(np.diff(at) == 1)
+            if len(touching):  # a run of one id: every second place of the run merges
+                run = np.append(0, np.cumsum(np.diff(at) != 1))
+                first = np.flatnonzero(np.append(True, np.diff(run) != 0))
+                at = at[(np.arange(len(at)) - first[run]) % 2 == 0]
+            ids[at] = self.merged[rank[at]]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            moved = np.cumsum(stay) - 1
+            ids, piece, rank = ids[stay], piece[stay], rank[stay]
+            at = moved[at]
+            redo = np.concatenate([at, at[at > 0] - 1])
+            ends = (redo + 1 >= len(ids)) | (piece[np.minimum(redo + 1, len(ids) - 1)] != piece[redo])
+            rank[redo[ends]] = NEVER
+            redo = redo[~ends]
+            rank[redo] = self.table(ids[redo], ids[redo + 1])
+        if not done_ids:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        ids, piece = np.concatenate(done_ids), np.concatenate(done_piece)
+        by = np.argsort(piece, kind="stable")
+        return ids[by], piece[by]
+
+    def fragments(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many fragments, one after the other, and their number for each.
+
+        Fragments of ASCII and Latin-1 letters are split by runs of byte
+        classes; the others by the pre-tokenizer's pattern.
+        """
+        n = len(bounds) - 1
+        owner = np.repeat(np.arange(n), np.diff(bounds))
+        follows = np.append(0, raw[:-1]) == 0xC3
+        odd = self.odd_byte[raw] & ~(follows & (raw >= 0x80) & (raw < 0xC0) & (raw != 0x97) & (raw != 0xB7))
+        odd |= WHITE[raw] & (np.arange(len(raw)) != bounds[owner])  # white space only where a fragment begins
+        odd_fragment = np.zeros(n, bool)
+        odd_fragment[owner[odd]] = True
+        kind = CLASS[raw]
+        begin = np.append(True, kind[1:] != kind[:-1])
+        begin[bounds[:-1]] = True
+        after_space = np.append(False, raw[:-1] == 32)
+        begin &= ~after_space | np.append(True, owner[1:] != owner[:-1])  # a blank belongs to what follows it
+        pair = np.append(0, raw[:-1]).astype(np.uint16) << 8 | raw
+        begin |= ~self.inside[pair]
+        special: dict[tuple[int, int], list[int]] = {}
+        for i in np.flatnonzero(odd_fragment):
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            begin[a + 1 : b] = False
+            at = a
+            text = raw[a:b].tobytes().decode()
+            for part in self.added.split(text) if self.added else [text]:
+                if part in self.special:
+                    special[at, at + len(part.encode())] = [self.special[part]]
+                    begin[at] = True
+                    at += len(part.encode())
+                    continue
+                for match in self.pieces.findall(part):
+                    begin[at] = True
+                    at += len(match.encode())
+            if at < b:
+                begin[at] = True
+            cut = np.flatnonzero(~self.inside[pair[a + 1 : b]]) + a + 1
+            begin[cut] = True
+        for a, b in special:
+            begin[a + 1 : b] = False
+            if b < len(raw):
+                begin[b] = True
+        starts = np.flatnonzero(begin)
+        length = np.diff(np.append(starts, len(raw)))
+        for i in np.flatnonzero(length > LONG):
+            a, b = int(starts[i]), int(starts[i] + length[i])
+            if (a, b) not in special:
+                special[a, b] = self.merge_long(raw[a:b].tobytes())
+        piece = np.repeat(np.arange(len(starts)), length)
+        apart = np.zeros(len(starts), bool)
+        lone = np.array(sorted(special), np.int64).reshape(-1, 2)
+        apart[np.searchsorted(starts, lone[:, 0])] = True
+        short = ~apart[piece]
+        ids, of = self.merge_short(self.byte_id[raw[short]], piece[short])
+        if len(lone):
+            numbers = np.searchsorted(starts, lone[:, 0])
+            more = [special[tuple(x)] for x in lone.tolist()]
+            ids = np.concatenate([ids, *[np.array(x, np.int64) for x in more]])
+            of = np.concatenate([of, np.repeat(numbers, [len(x) for x in more])])
+            by = np.argsort(of, kind="stable")
+            ids, of = ids[by], of[by]
+        return ids.astype("<u4"), np.bincount(owner[starts[of]], minlength=n)
 
     def cuts(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Sorted starts of all fragments: beginnings of texts and certain cuts before white space."""
-        spaces = np.flatnonzero(WHITE[raw])
-        spaces = spaces[spaces > 0]
+        start = WHITE[raw]
+        spaces = np.flatnonzero(start[1:]) + 1
         pairs = raw[spaces - 1].astype(np.uint16) << 8 | raw[spaces]
-        return np.union1d(spaces[~self.inside[pairs]], bounds[:-1][np.diff(bounds) > 0])
+        start[spaces[self.inside[pairs]]] = False
+        start[bounds[:-1][np.diff(bounds) > 0]] = True
+        return np.flatnonzero(start)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after the other, and their number for each text."""
@@ -163,19 +264,9 @@ class ByteBPE:
             return np.empty(0, "<u4"), np.zeros(len(bounds) - 1, np.int64)
         ends = np.append(starts, len(raw)).astype(np.int32 if len(raw) < 2**31 - 1 else np.int64)
         kind, maker = (pa.binary(), pa.BinaryArray) if ends.dtype == np.int32 else (pa.large_binary(), pa.LargeBinaryArray)
-        fragments = maker.from_buffers(kind, len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw)]).dictionary_encode()
-        known = self.known
-        each = []
-        for fragment in fragments.dictionary.to_pylist():
-            ids = known.get(fragment)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[fragment] = np.array(self.fragment(fragment.decode()), "<u4").tobytes()
-            each.append(ids)
-        pool = np.frombuffer(b"".join(each), "<u4")
-        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        which = fragments.indices.to_numpy(zero_copy_only=False)
+        coded = maker.from_buffers(kind, len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw)]).dictionary_encode()
+        pool, sizes = self.fragments(*utf8(coded.dictionary))
+        which = coded.indices.to_numpy(zero_copy_only=False)
         lengths = sizes[which]
         ids = pool[gather((np.cumsum(sizes) - sizes)[which], lengths)]
         before = np.append(0, np.cumsum(lengths))
