@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
+from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
 from strataloom.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("op1_jaccard_join")
+def op1(spark, read):
+    """SQL would list all pairs; tests/llm compares with brute force."""
+    return jaccard_components(read("documents"), words=3, numerator=90, denominator=100)
+
+
 @query(
     "op7_exact_copies",
     """
