@@ -21,7 +21,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column, pa.scalar("", column.type) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else pa.scalar(b"", column.type))
     n = len(column)
     if not n:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)

@@ -9,6 +9,7 @@ from strataloom.llm.exact_copies import exact_copies
 from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
 from strataloom.llm.registry import ORACLE, QUERIES, query
+from strataloom.llm.repeats import remove_repeats
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -34,6 +35,13 @@ def op7(spark, read):
     return exact_copies(read("documents")).drop("keep_rows")
 
 
+@query("op3_repeats")
+def op3(spark, read):
+    """SQL would need a row per byte; tests/llm compares with brute force."""
+    left = remove_repeats(read("documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_bpe_round_trip")
 def op6(spark, read):
     """No SQL can tokenise; tests/llm compares with the tokenizers library."""
