@@ -8,8 +8,11 @@ from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
 from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
+from strataloom.llm.matrices import write_matrices
+from strataloom.llm.packing import pack
 from strataloom.llm.registry import ORACLE, QUERIES, query
 from strataloom.llm.repeats import remove_repeats
+from strataloom.session import new_dir
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -35,6 +38,13 @@ def op7(spark, read):
     return exact_copies(read("documents")).drop("keep_rows")
 
 
+@query("op2_token_matrices")
+def op2(spark, read):
+    """Every row of the matrices written, read again; tests/llm restores all documents from them."""
+    written = write_matrices(read("documents"), new_dir(spark, "matrices"))
+    return written.select("shard", "window", "row", "n_tokens", "cu_seqlens", "resets", "doc_ids", "starts", F.sha2("ids", 256).alias("ids_sha256"))
+
+
 @query("op3_repeats")
 def op3(spark, read):
     """SQL would need a row per byte; tests/llm compares with brute force."""
@@ -49,6 +59,12 @@ def op6(spark, read):
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op8_packing")
+def op8(spark, read):
+    """No SQL can tokenise or evolve packings; tests/llm checks every piece and the number of sequences."""
+    return pack(read("documents"))
+
+
 @query("op9_language")
 def op9(spark, read):
     """No SQL can train the models; tests/llm measures held-out accuracy."""
