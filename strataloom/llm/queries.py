@@ -9,6 +9,7 @@ from strataloom.llm.exact_copies import exact_copies
 from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
 from strataloom.llm.matrices import write_matrices
+from strataloom.llm.neighbours import nearest
 from strataloom.llm.packing import pack
 from strataloom.llm.registry import ORACLE, QUERIES, query
 from strataloom.llm.repeats import remove_repeats
@@ -52,6 +53,26 @@ def op3(spark, read):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query(
+    "op5_neighbours",
+    """
+    WITH usable AS (
+        SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+        FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+    ), ranked AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op5(spark, read):
+    vectors = read("embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query("op6_bpe_round_trip")
 def op6(spark, read):
     """No SQL can tokenise; tests/llm compares with the tokenizers library."""
