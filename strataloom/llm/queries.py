@@ -11,6 +11,7 @@ from strataloom.llm.langid import identify
 from strataloom.llm.matrices import write_matrices
 from strataloom.llm.neighbours import nearest
 from strataloom.llm.packing import pack
+from strataloom.llm.pages import extract
 from strataloom.llm.registry import ORACLE, QUERIES, query
 from strataloom.llm.repeats import remove_repeats
 from strataloom.session import new_dir
@@ -90,3 +91,9 @@ def op8(spark, read):
 def op9(spark, read):
     """No SQL can train the models; tests/llm measures held-out accuracy."""
     return identify(read("documents"))
+
+
+@query("op10_main_text")
+def op10(spark, read):
+    """No SQL reads broken markup; tests/llm holds planted articles against it."""
+    return extract(read("pages"))
