@@ -8,6 +8,7 @@ from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
 from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
+from strataloom.llm.licences import scan
 from strataloom.llm.matrices import write_matrices
 from strataloom.llm.neighbours import nearest
 from strataloom.llm.packing import pack
@@ -54,6 +55,12 @@ def op3(spark, read):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op4_licences")
+def op4(spark, read):
+    """No SQL can train the classifier; tests/llm holds planted notices against it."""
+    return scan(read("documents"))
+
+
 @query(
     "op5_neighbours",
     """
