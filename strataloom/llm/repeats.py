@@ -296,40 +296,49 @@ def _compare(pieces: DataFrame, length: int) -> DataFrame:
     return pieces.mapInArrow(work, "doc bigint, text_hash bigint, first bigint, n bigint")
 
 
-def _apply(docs: DataFrame, length: int) -> DataFrame:
-    """Cut the covered bytes out of every text."""
+def cover(raw: np.ndarray, bounds: np.ndarray, runs: pa.Array, copy: pa.Array, length: int) -> np.ndarray:
+    """Which bytes of the texts are covered by the runs of starts, or belong to a later copy of a whole text."""
+    size = np.diff(bounds)
+    count = np.diff(np.asarray(runs.offsets)) if len(runs) else np.empty(0, np.int64)
+    doc = np.repeat(np.arange(len(size)), count)
+    items = runs.flatten()
+    first, n = (np.asarray(items.field(c)).astype(np.int64) for c in ("first", "n"))
+    change = np.zeros(len(raw) + 1, np.int32)
+    np.add.at(change, bounds[doc] + first, 1)
+    np.add.at(change, bounds[doc] + first + n - 1 + length, -1)
+    covered = np.cumsum(change[:-1]) > 0
+    copies = np.flatnonzero(np.asarray(copy) & (size >= length))
+    covered[gather(bounds[copies], size[copies])] = True
+    return covered
+
+
+def _measure(marked: DataFrame, length: int) -> DataFrame:
+    """Cut the covered bytes out of every text and count them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, bounds = utf8(batch.column("text"))
             size = np.diff(bounds)
-            runs = batch.column("runs")
-            count = np.diff(np.asarray(runs.offsets)) if len(runs) else np.empty(0, np.int64)
-            doc = np.repeat(np.arange(batch.num_rows), count)
-            items = runs.flatten()
-            first, n = (np.asarray(items.field(c)).astype(np.int64) for c in ("first", "n"))
-            change = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(change, bounds[doc] + first, 1)
-            np.add.at(change, bounds[doc] + first + n - 1 + length, -1)
-            covered = np.cumsum(change[:-1]) > 0
-            copies = np.flatnonzero(np.asarray(batch.column("copy")) & (size >= length))
-            covered[gather(bounds[copies], size[copies])] = True
-            gone = np.append(0, np.cumsum(covered))
-            removed = np.diff(gone[bounds])
+            covered = cover(raw, bounds, batch.column("runs"), batch.column("copy"), length)
+            removed = np.diff(np.append(0, np.cumsum(covered))[bounds])
             starts = covered & np.append(True, ~covered[:-1])[: len(covered)]
             starts[bounds[:-1][size > 0]] = covered[bounds[:-1][size > 0]]  # a run does not go on from the text before
             spans = np.diff(np.append(0, np.cumsum(starts))[bounds])
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "n_bytes": size, "n_removed": removed, "n_spans": spans, "kept": binary_column(raw[~covered], size - removed)})
 
-    return docs.mapInArrow(work, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return marked.mapInArrow(work, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes left) of every row."""
-    small_batches(docs.sparkSession)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with the order key `doc`, the text without null, and `text_hash`."""
+    return docs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_hash", F.xxhash64("text"))
+
+
+def _found(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Runs of covered starts of each (doc, text_hash), and the first document of each text."""
+    small_batches(texts.sparkSession)
     if length < GRAM + SPREAD or length > 1000:
         raise ValueError(f"length must lie between {GRAM + SPREAD} and 1000")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     first = texts.groupBy("text_hash").agg(F.min("doc").alias("doc"))
     firsts = texts.join(first, ["doc", "text_hash"], "left_semi")
     found = _find_anchors(firsts.select("doc", "text", "text_hash"), length)
@@ -340,7 +349,43 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     compared = _compare(pieces.repartition("core").sortWithinPartitions("core"), length)
 
     runs = met.where(f"kind = {REMOVED}").select("doc", "text_hash", F.col("first").cast("bigint").alias("first"), F.col("n").cast("bigint").alias("n")).unionByName(compared)
-    runs = runs.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    return runs.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("first", "n")).alias("runs")), first
+
+
+def _marked(texts: DataFrame, length: int, searched: DataFrame) -> DataFrame:
+    """`texts` with the runs to cut (`runs`) and whether it is a later copy of a whole text (`copy`)."""
+    runs, first = _found(searched, length)
     marked = texts.join(runs, ["doc", "text_hash"], "left").join(first.withColumn("earliest", F.lit(True)), ["doc", "text_hash"], "left")
-    marked = marked.select("doc", "text", F.coalesce("runs", F.expr("array()").cast("array<struct<first: bigint, n: bigint>>")).alias("runs"), F.col("earliest").isNull().alias("copy"))
-    return _apply(marked, length).select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+    none = F.expr("cast(array() as array<struct<first: bigint, n: bigint>>)")
+    return marked.withColumn("runs", F.coalesce("runs", none)).withColumn("copy", F.col("earliest").isNull())
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes left) of every row."""
+    texts = _keyed(docs.select("doc_id", "text")).select("doc", "text", "text_hash")
+    marked = _marked(texts, length, texts).select("doc", "text", "runs", "copy")
+    return _measure(marked, length).select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """All rows and columns of `docs` with the repeats cut out of `text`, and `n_chars` of what is left.
+
+    Bytes of a character that a cut leaves incomplete go with it.
+    """
+    texts = _keyed(docs.select("doc_id", "text")).select("doc", "text", "text_hash")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("rest"), "doc_id", "text")
+    marked = _marked(_keyed(packed), length, texts).select("rest", "text", "runs", "copy")
+    schema = marked.select("rest", "text").schema
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, bounds = utf8(batch.column("text"))
+            covered = cover(raw, bounds, batch.column("runs"), batch.column("copy"), length)
+            kept = raw[~covered].tobytes()
+            ends = np.append(0, np.cumsum(~covered))[bounds].tolist()
+            left = [kept[a:b].decode(errors="ignore") for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(left, pa.string())], ["rest", "text"])
+
+    stripped = marked.mapInArrow(work, schema)
+    out = [F.col("text") if c == "text" else F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("rest")[c].alias(c) for c in docs.columns]
+    return stripped.select(*out)

@@ -81,6 +81,18 @@ def test_planted_repeats(spark, seed):
     assert answer(repeats.remove_repeats(docs)) == brute(rows)
 
 
+def test_stage_keeps_rows_and_columns(spark):
+    rnd = random.Random(9)
+    passage = prose(rnd, 60)
+    rows = [(i, prose(rnd, 20) + " é" + passage + "é " + prose(rnd, 20), "runs", i, None) for i in range(6)] + [(None, None, "x", 1, None), (2, "short", "y", 1, None), (2, "short", "y", 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, runs string, n_chars bigint, copy string")
+    got = repeats.strip_repeats(docs)
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    want = sorted(((d, kept.decode(errors="ignore")) for d, _, _, _, kept in brute([r[:2] for r in rows])), key=str)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+    assert all(r.n_chars == len(r.text) and r.runs for r in got.collect())
+
+
 def test_no_rows(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
