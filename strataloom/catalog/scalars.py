@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strataloom.catalog.registry import query, sql_round
 from strataloom.functions import dates, numbers, text
-from strataloom.operators.windows import lag_in_group, time_position
+from strataloom.operators.windows import lag_in_group
 from strataloom.plans.dims import date_span
 
 
@@ -222,7 +222,7 @@ def f19(t):
 )
 def f20(t):
     rows = t.events.select("event_id", "user_id", "ts")
-    lagged = lag_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", time_position("ts"), "previous_ts")
+    lagged = lag_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", "previous_ts")
     timed = lagged.select("event_id", dates.seconds_between("previous_ts", "ts").alias("seconds"))
     return timed.withColumn("minutes", numbers.round_half_up(F.col("seconds") / 60.0, 1))
 

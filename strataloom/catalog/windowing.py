@@ -47,7 +47,7 @@ def w01(t):
 )
 def w01_events(t):
     rows = t.events.select("event_id", "user_id", "ts", numbers.money("value").alias("amount"))
-    summed = win.running_sum_in_group(rows, ["user_id"], "ts", "amount", win.time_position("ts"), "running_value")
+    summed = win.running_sum_in_group(rows, ["user_id"], "ts", "amount", "running_value")
     return summed.select("event_id", "user_id", F.col("running_value").cast("double").alias("running_value"))
 
 
@@ -96,7 +96,7 @@ def w04(t):
 )
 def w05(t):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    lagged = win.lag_in_group(rows, ["user_id"], ["ts", "event_id"], "value", win.time_position("ts"), "previous")
+    lagged = win.lag_in_group(rows, ["user_id"], ["ts", "event_id"], "value", "previous")
     return lagged.select("event_id", "value", "previous", numbers.round_half_up(F.col("value") - F.col("previous"), 2).alias("delta"))
 
 
@@ -106,7 +106,7 @@ def w05(t):
 )
 def w06(t):
     rows = t.events.select("event_id", "user_id", "ts")
-    return win.lead_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", win.time_position("ts"), "next_ts").select("event_id", "next_ts")
+    return win.lead_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", "next_ts").select("event_id", "next_ts")
 
 
 @query(
@@ -164,5 +164,5 @@ def w10(t):
 )
 def w11(t):
     rows = t.events.select("event_id", "user_id", "ts")
-    ahead = win.lead_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", win.time_position("ts"), "next_ts")
+    ahead = win.lead_in_group(rows, ["user_id"], ["ts", "event_id"], "ts", "next_ts")
     return ahead.select("event_id", dates.seconds_between("ts", "next_ts").alias("seconds_to_next"))

@@ -2,10 +2,11 @@
 
 Top-n and latest-row use `row_number` with a bound, which Spark turns into a
 group limit before the shuffle. Functions that need the whole group (lag, lead,
-running sum) stay ordinary windows unless a key is hot. The group of a hot key
-is cut into slices of the order value: the work inside a slice is an ordinary
-window, and one small row per (key, slice) carries the result of the slices
-before it. Ranks always work on slices, over distinct values with their counts.
+running sum, rank) always take one path: rows are range partitioned by key and
+order, so that a long group, bursts included, lies over several partitions. The
+work inside a partition is an ordinary window, and one small row per (partition,
+key) carries the result of the partitions before. Running sums and ranks work on
+distinct order values, so ties shrink before the shuffle.
 """
 
 from __future__ import annotations
@@ -20,11 +21,6 @@ from strataloom.session import cut_lineage
 
 Order = Sequence[str | Column]
 
-# Rows of one key that a single task may sort, and rows that may be broadcast.
-ROWS_PER_TASK = 2_000_000
-BROADCAST_ROWS = 100_000
-
-
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Order, n: int, rank_as: str | None = None) -> DataFrame:
     """The first n rows of each group; `order` must end with a tie break."""
     name = rank_as or "_rank"
@@ -37,121 +33,71 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame
     return top_n_per_group(df, keys, order, 1)
 
 
-def magnitude_slice(col: str | Column, per_doubling: int = 256) -> Column:
-    """Slice number that grows with the value: `per_doubling` slices per factor of two."""
-    x = (F.col(col) if isinstance(col, str) else col).cast("double")
-    return F.signum(x).cast("bigint") * F.floor(F.log2(F.lit(1.0) + F.abs(x)) * per_doubling)
-
-
-def time_position(col: str | Column) -> Column:
-    """Place of a timestamp on a number line."""
-    return F.unix_micros((F.col(col) if isinstance(col, str) else col).cast("timestamp")).cast("double")
+def lag_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, alias: str, partitions: int | None = None) -> DataFrame:
+    """`lag(value)` over keys and order; `order` must end with a tie break."""
+    return _neighbour(df, keys, order, value, alias, partitions, back=True)
 
 
-def lag_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """`lag(value)` over keys and order; `position` is a number that never falls along `order`."""
-    return _neighbour(df, keys, order, value, position, alias, rows_per_task, back=True)
-
+def lead_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, alias: str, partitions: int | None = None) -> DataFrame:
+    """`lead(value)` over keys and order; `order` must end with a tie break."""
+    return _neighbour(df, keys, order, value, alias, partitions, back=False)
 
-def lead_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """`lead(value)` over keys and order; `position` is a number that never falls along `order`."""
-    return _neighbour(df, keys, order, value, position, alias, rows_per_task, back=False)
 
+def ranged(df: DataFrame, by: Order, partitions: int | None = None) -> DataFrame:
+    """`df` range partitioned, with the partition number as `_part`.
 
-def running_sum_in_group(
-    df: DataFrame, keys: Sequence[str], order: str, measure: str, position: Column, alias: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Running sum over keys by order, equal order values taken together (the RANGE frame).
-
-    `position` is a number that never falls along `order` and depends on it alone.
+    The rows are written to the shared folder, because a second evaluation
+    could place the range limits elsewhere.
     """
-    sliced = _slice_hot_keys(df, keys, position, rows_per_task)
-    if sliced is None:
-        w = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(alias, F.sum(measure).over(w))
-    return _sliced_sum(sliced, keys, F.col(order).asc(), measure, alias)
-
+    parts = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return cut_lineage(parts.withColumn("_part", F.spark_partition_id()))
 
-def _slice_hot_keys(df: DataFrame, keys: Sequence[str], position: Column, rows_per_task: int) -> DataFrame | None:
-    """Cut the groups of hot keys into slices of position; None if no key is hot.
 
-    A key is hot with more than `rows_per_task` rows, so there are at most
-    rows / rows_per_task hot keys. They are found with map-side partial counts
-    and written down, so that every use sees the same limits. A hot key gets
-    slices in proportion to its rows; all other keys stay whole in slice 0.
-    """
-    n = F.count(F.lit(1))
-    per_key = df.groupBy(F.struct(*keys).alias("_key")).agg(n.alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-    hot = cut_lineage(per_key.where(F.col("_n") > rows_per_task))
-    hot_count = hot.count()
-    if hot_count == 0:
-        return None
-    if hot_count <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    slices = F.ceil(F.col("_n") / rows_per_task) * 4
-    share = F.coalesce(F.try_divide(position - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    number = F.when(F.col("_n").isNull() | position.isNull(), F.lit(0)).otherwise(F.least(F.floor(share * slices), slices - 1) + 1)
-    tagged = df.withColumn("_key", F.struct(*keys)).join(hot, "_key", "left")
-    return tagged.withColumn("_slice", number.cast("bigint")).withColumn("_hot", F.col("_n").isNotNull()).drop("_n", "_lo", "_hi")
-
-
-def _neighbour(df, keys, order, value, position, alias, rows_per_task, back: bool) -> DataFrame:
+def _neighbour(df, keys, order, value, alias, partitions, back: bool) -> DataFrame:
     v = F.col(value) if isinstance(value, str) else value
-    step = F.lag if back else F.lead
-    sliced = _slice_hot_keys(df, keys, position, rows_per_task)
-    if sliced is None:
-        return df.withColumn(alias, step(v).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    sliced = sliced.withColumn("_value", v)
-    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
-    rows = sliced.withColumn("_near", step("_value").over(inside)).withColumn("_edge", step(F.lit(True)).over(inside).isNull())
-
-    edge = F.max_by if back else F.min_by
-    across = Window.partitionBy("_key").orderBy("_slice")
-    carry = (
-        sliced.where("_hot")
-        .groupBy("_key", "_slice")
-        .agg(edge(F.struct("_value"), F.struct(*order)).alias("_last"))
-        .select("_key", "_slice", step("_last").over(across)["_value"].alias("_carry"))
-    )
+    step, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
+    placed = ranged(df.withColumn("_value", v), [*keys, *order], partitions)
+    inside = Window.partitionBy("_part", *keys).orderBy(*order)
+    rows = placed.withColumn("_near", step("_value").over(inside)).withColumn("_edge", step(F.lit(True)).over(inside).isNull())
+    # one row per key and partition: the value that the next partition of the key continues from
+    across = Window.partitionBy(*keys).orderBy("_part")
+    ends = placed.groupBy("_part", *keys).agg(edge(F.struct("_value"), F.struct(*order)).alias("_last"))
+    carry = ends.select("_part", *keys, step("_last").over(across)["_value"].alias("_carry")).where("_carry IS NOT NULL")
     near = F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_near"))
-    return rows.join(carry, ["_key", "_slice"], "left").select(*df.columns, near.alias(alias))
-
-
-def _sliced_sum(sliced: DataFrame, keys: Sequence[str], order: Column, measure: str, alias: str) -> DataFrame:
-    """Running sum of rows tagged with `_key`, `_slice` and `_hot`."""
-    columns = [c for c in sliced.columns if c not in ("_key", "_slice", "_hot")]
-    inside = Window.partitionBy("_key", "_slice").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sliced.withColumn("_inside", F.sum(measure).over(inside))
-    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        sliced.where("_hot")
-        .groupBy("_key", "_slice")
-        .agg(F.sum(measure).alias("_sum"))
-        .select("_key", "_slice", F.sum("_sum").over(before).alias("_before"))
-    )
+    joined = rows.join(carry, null_safe_on(rows, carry, ["_part", *keys]), "left")
+    return joined.select(*[rows[c] for c in df.columns], near.alias(alias))
+
+
+def _running(values: DataFrame, keys: Sequence[str], order: Column, weight: str, alias: str, partitions: int | None) -> DataFrame:
+    """Running sum of `weight` over rows that hold each (keys, order) once."""
+    placed = ranged(values, [*keys, order], partitions)
+    inside = Window.partitionBy("_part", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = placed.withColumn("_inside", F.sum(weight).over(inside))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_part", *keys).agg(F.sum(weight).alias("_sum"))
+    carry = sums.select("_part", *keys, F.sum("_sum").over(before).alias("_before")).where("_before IS NOT NULL")
     running = F.when(F.col("_before").isNull(), F.col("_inside")).otherwise(F.col("_before") + F.coalesce(F.col("_inside"), F.lit(0)))
-    return rows.join(carry, ["_key", "_slice"], "left").select(*columns, running.alias(alias))
+    joined = rows.join(carry, null_safe_on(rows, carry, ["_part", *keys]), "left")
+    return joined.select(*[rows[c] for c in values.columns], running.alias(alias))
+
+
+def running_sum_in_group(df: DataFrame, keys: Sequence[str], order: str, measure: str, alias: str, partitions: int | None = None) -> DataFrame:
+    """Running sum over keys by order, equal order values taken together (the RANGE frame)."""
+    sums = df.groupBy(*keys, order).agg(F.sum(measure).alias("_weight"))
+    upto = _running(sums, keys, F.col(order), "_weight", alias, partitions).drop("_weight")
+    return df.join(upto, null_safe_on(df, upto, [*keys, order])).select(df["*"], upto[alias])
 
 
 def rank_in_group(
-    df: DataFrame, keys: Sequence[str], measure: str, alias: str = "rank", descending: bool = True, dense: bool = False
+    df: DataFrame, keys: Sequence[str], measure: str, alias: str = "rank", descending: bool = True, dense: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """RANK or DENSE_RANK of a measure within each group; NULL measures come last.
 
-    Ranks are worked out on the distinct values of a group with their counts,
-    so many equal values shrink to one row before the shuffle.
+    Values are ordered as Spark sorts them: NaN is greater than any number.
     """
     counts = df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n")).withColumn("_weight", F.lit(1) if dense else F.col("_n"))
-    slice_no = magnitude_slice(measure)
-    slice_no = F.coalesce(-slice_no if descending else slice_no, F.lit(2**62))
     order = F.col(measure).desc_nulls_last() if descending else F.col(measure).asc_nulls_last()
-    sliced = counts.withColumn("_key", F.struct(*keys)).withColumn("_slice", slice_no).withColumn("_hot", F.lit(True))
-    summed = _sliced_sum(sliced, keys, order, "_weight", "_upto")
+    summed = _running(counts, keys, order, "_weight", "_upto", partitions)
     position = F.col("_upto") if dense else F.col("_upto") - F.col("_n") + 1
     ranks = summed.select(*keys, measure, position.cast("bigint").alias(alias))
     return df.join(ranks, null_safe_on(df, ranks, [*keys, measure]), "inner").select(df["*"], ranks[alias])
