@@ -49,6 +49,12 @@ def i01_new(t):
     return inc.incremental_by_key(_first_batch(t), t.events, ["user_id"], "ts", "last_ts", _user_stats(), mode="new_rows")
 
 
+@query("i01_first_load", f"{SQL_USER_STATS} GROUP BY 1")
+def i01_first(t):
+    """From an empty target: the first run loads everything."""
+    return inc.incremental_by_key(_first_batch(t).where(F.lit(False)), t.events, ["user_id"], "ts", "last_ts", _user_stats())
+
+
 def _daily(rows):
     return rows.select("user_id", F.to_date("ts").alias("day"), "value")
 
@@ -72,6 +78,12 @@ def i02(t):
     return _incremental_days(t)
 
 
+@query("i02_first_load", SQL_DAY_STATS)
+def i02_first(t):
+    empty = _daily(t.events.where(F.lit(False))).groupBy("user_id", "day").agg(*_day_stats())
+    return inc.incremental_by_day(empty, _daily(t.events), ["user_id"], "day", _day_stats())
+
+
 @query("i03_full_refresh", f"SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS differing_rows FROM ({SQL_DAY_STATS})")
 def i03(t):
     full = _daily(t.events).groupBy("user_id", "day").agg(*_day_stats())
@@ -115,6 +127,40 @@ def i05_next(t):
     return inc.first_missing_date(_log(t), "o_orderdate", *_ends())
 
 
+SQL_STEP_LOG = """
+    SELECT o_orderpriority AS step, CAST(o_orderdate AS DATE) AS day, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'error' ELSE 'skipped' END AS status FROM orders
+"""
+
+
+@query(
+    "i05_gap_of_a_step",
+    f"""
+    SELECT CAST(day AS DATE) AS missing_date FROM (SELECT UNNEST(generate_series((SELECT MIN(day) FROM log), (SELECT MAX(day) FROM log), INTERVAL 1 DAY)) AS day)
+    WHERE day NOT IN (SELECT day FROM log WHERE step = '2-HIGH' AND status = 'success')
+    """.replace("FROM log", f"FROM ({SQL_STEP_LOG})"),
+)
+def i05_step(t):
+    """Gaps of one step up to the last finalized date of the whole log, the end included."""
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "P", "error").otherwise("skipped")
+    log = t.orders.select(F.col("o_orderpriority").alias("step"), F.to_date("o_orderdate").alias("day"), status.alias("status"))
+    return inc.missing_dates(log, "day", F.min("day"), F.max("day"), done=(F.col("step") == "2-HIGH") & (F.col("status") == "success"))
+
+
+@query(
+    "i06_emptied_day",
+    "SELECT CAST(ts AS DATE) AS day, COUNT(*) AS event_count FROM events WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-06', DATE '2024-01-08') GROUP BY 1",
+)
+def i06_emptied(t):
+    """Two days of the range have lost their rows in the source; both end empty, also when run again."""
+    path = new_dir(t.spark, "i06empty")
+    rows = t.events.select("event_id", "value", F.to_date("ts").alias("day"))
+    sinks.write_partitioned(rows, path, ["day"])
+    left = rows.where(~F.col("day").isin(dt.date(2024, 1, 6), dt.date(2024, 1, 8)))
+    for _ in range(2):
+        inc.backfill(left, path, "day", dt.date(2024, 1, 5), dt.date(2024, 1, 10))
+    return t.spark.read.parquet(path).groupBy(F.col("day").cast("date").alias("day")).agg(F.count("*").alias("event_count"))
+
+
 @query(
     "i06_backfill",
     f"SELECT event_id, {sql_round('value * 2', 2)} AS value, CAST(ts AS DATE) AS day FROM events WHERE ts < TIMESTAMP '2024-01-11' AND ts >= TIMESTAMP '2024-01-05' UNION ALL "
@@ -153,6 +199,21 @@ def _event_log(t):
     return t.events.select(F.col("event_type").alias("step_name"), F.col("user_id").alias("run_id"), "event_id", "ts", status.alias("status"))
 
 
+@query(
+    "i08_skipped",
+    """
+    SELECT 'load_orders' AS step_name, 'success' AS status, COUNT(*) AS rows_loaded, '' AS message FROM orders
+    UNION ALL SELECT 'load_parts', 'skipped', 0, CAST(COUNT(*) AS VARCHAR) || ' rows are there already' FROM part
+    """,
+)
+def i08_skipped(t):
+    """A step whose table is there already is logged as skipped."""
+    log = new_dir(t.spark, "i08log")
+    inc.write_logged(t.orders, new_dir(t.spark, "i08data"), log, "run-2", "load_orders", dt.date(2024, 2, 1))
+    inc.log_skipped(t.spark, log, "run-2", "load_parts", dt.date(2024, 2, 1), f"{t.part.count()} rows are there already")
+    return t.spark.read.parquet(log).select("step_name", "status", "rows_loaded", "message")
+
+
 @query(
     "i09_log_latest",
     f"SELECT step_name, event_id, ts, status FROM ({SQL_LOG}) QUALIFY ROW_NUMBER() OVER (PARTITION BY step_name ORDER BY ts DESC, event_id DESC) = 1",
@@ -290,6 +351,20 @@ def i17(t):
     return rows.groupBy("l_returnflag").agg(F.count("*").alias("line_count"), numbers.total("l_extendedprice").alias("gross"))
 
 
+@query(
+    "i17_compact_partitions",
+    f"""
+    SELECT CAST(month(l_shipdate) AS INTEGER) AS ship_month, COUNT(*) AS line_count, TRUE AS one_file FROM lineitem WHERE year(l_shipdate) = 1997 GROUP BY 1
+    """,
+)
+def i17_partitions(t):
+    """A table by month keeps its folders, and each small folder becomes one file."""
+    large = new_dir(t.spark, "i17months")
+    sinks.compact(t.spark, write_lines_by_month(t, "i17"), large, by=["ship_year", "ship_month"])
+    layout = sinks.partition_layout(t.spark.read.parquet(large).where("ship_year = 1997"), ["ship_month"])
+    return layout.select("ship_month", F.col("row_count").alias("line_count"), (F.col("file_count") == 1).alias("one_file"))
+
+
 @query(
     "i18_add_column",
     f"""
@@ -327,10 +402,17 @@ def i19(t):
     )
 
 
-@query("i20_layout")
+@query(
+    "i20_layout",
+    """
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(month(l_shipdate) AS INTEGER) AS ship_month, COUNT(*) AS row_count, TRUE AS has_files, TRUE AS has_bytes
+    FROM lineitem GROUP BY ALL
+    """,
+)
 def i20(t):
     path = write_lines_by_month(t, "i20")
-    return sinks.partition_layout(t.spark.read.parquet(path), ["ship_year", "ship_month"])
+    layout = sinks.partition_layout(t.spark.read.parquet(path), ["ship_year", "ship_month"])
+    return layout.select("ship_year", "ship_month", "row_count", (F.col("file_count") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query(

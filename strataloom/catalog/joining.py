@@ -198,21 +198,21 @@ def j10_left(t):
     return _asof(t, "left")
 
 
-# Three posts that every supplier has.
-POSTS = [Row(post_no=1, post="manager"), Row(post_no=2, post="cashier"), Row(post_no=3, post="cashier")]
+# Box sizes with the volume units they hold.
+BOXES = [Row(box="small", units=6), Row(box="medium", units=20), Row(box="crate", units=75)]
 
 
 @query(
     "j11_cross",
     """
-    SELECT s_suppkey, post_no, post, CAST(DATE '2023-01-15' + CAST(s_suppkey % 1000 * 30 + post_no * 45 AS INTEGER) AS DATE) AS hired_on
-    FROM supplier CROSS JOIN (VALUES (1, 'manager'), (2, 'cashier'), (3, 'cashier')) AS p(post_no, post)
+    SELECT p_partkey, box, CAST(units // (1 + p_size) AS BIGINT) AS pieces, units % (1 + p_size) AS units_left
+    FROM part CROSS JOIN (VALUES ('small', 6::BIGINT), ('medium', 20), ('crate', 75)) AS b(box, units)
     """,
 )
 def j11(t):
-    staff = joins.with_inline_rows(t.supplier.select("s_suppkey"), POSTS)
-    offset = (F.pmod("s_suppkey", F.lit(1000)) * 30 + F.col("post_no") * 45).cast("int")
-    return staff.select("s_suppkey", "post_no", "post", F.date_add(F.lit("2023-01-15").cast("date"), offset).alias("hired_on"))
+    boxed = joins.with_inline_rows(t.part.select("p_partkey", "p_size"), BOXES)
+    need = (F.col("p_size") + 1).cast("bigint")
+    return boxed.select("p_partkey", "box", F.floor(F.col("units") / need).alias("pieces"), (F.col("units") % need).alias("units_left"))
 
 
 @query(
@@ -287,7 +287,7 @@ def j14(t):
     """,
 )
 def j15(t):
-    located = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    located = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_nationkey")
     return joins.first_match(located, t.supplier, "c_nationkey", "s_nationkey", "s_suppkey", "local_supplier").select("o_orderkey", "local_supplier")
 
 

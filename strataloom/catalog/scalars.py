@@ -253,14 +253,16 @@ def f22(t):
     )
 
 
+SHADES = ("amber", "cobalt", "ivory", "jade", "plum", "rust", "slate", "teal", "umber")
+
+
 @query(
     "f23_array_index",
-    "SELECT c_custkey, (['Oak', 'Park', 'School', 'Sea', 'Mid', 'Long'])[CAST(1 + c_custkey % 6 AS BIGINT)] || ' ' || CAST(1 + c_custkey % 50 AS VARCHAR) AS street FROM customer",
+    f"SELECT p_partkey, {list(SHADES)}[CAST(p_size % {len(SHADES)} + 1 AS BIGINT)] AS shade, {list(SHADES)}[-1] AS last_shade FROM part",
 )
 def f23(t):
-    streets = F.array(*[F.lit(s) for s in ("Oak", "Park", "School", "Sea", "Mid", "Long")])
-    name = F.element_at(streets, (F.pmod("c_custkey", F.lit(6)) + 1).cast("int"))
-    return t.customer.select("c_custkey", F.concat(name, F.lit(" "), (F.pmod("c_custkey", F.lit(50)) + 1).cast("string")).alias("street"))
+    shades = F.array(*[F.lit(s) for s in SHADES])
+    return t.part.select("p_partkey", F.element_at(shades, (F.col("p_size") % len(SHADES) + 1).cast("int")).alias("shade"), F.element_at(shades, -1).alias("last_shade"))
 
 
 @query(

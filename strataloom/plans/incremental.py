@@ -12,14 +12,26 @@ from strataloom.functions.dates import days
 from strataloom.operators.windows import first_per_key
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows unchanged if each key occurs once; otherwise the query that reads them fails."""
+    others = [c for c in rows.columns if c not in keys]
+    held = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others) if others else F.lit(True)).alias("_row"))
+    message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
+    sure = held.withColumn("_row", F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_row")))
+    return sure.where("_row IS NOT NULL").select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in rows.columns])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], latest_by: Sequence[Column] | None = None) -> DataFrame:
     """Rows of `source` replace rows of `target` with the same key; the last write wins.
 
-    The target is only filtered by an anti join, so a small source is broadcast
+    Without `latest_by`, which picks one, a key that occurs twice in `source`
+    fails the query. The target is only filtered by an anti join, so a small source is broadcast
     by Catalyst and a large target is not shuffled at all.
     """
     if latest_by is not None:
         source = first_per_key(source, keys, latest_by)
+    else:
+        source = one_per_key(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source)
 
@@ -38,9 +50,10 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str])
 def merge_rows(target: DataFrame, updates: DataFrame, key: str, set_columns: Sequence[str]) -> DataFrame:
     """MERGE: update some columns of matching rows, insert the others with NULL in the rest.
 
-    `updates` holds each key once. The target meets the updates in a left join;
+    `updates` must hold each key once, otherwise the query fails. The target meets the updates in a left join;
     the keys to insert are found among the updates alone.
     """
+    updates = one_per_key(updates.select(key, *set_columns), [key])
     new = updates.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in set_columns], F.lit(True).alias("_hit"))
     matched = target.join(new, F.col(key) == F.col("_key"), "left").select(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in set_columns else F.col(c) for c in target.columns]
@@ -70,11 +83,13 @@ def incremental_by_key(
 
     `full_keys` recomputes the keys that have new rows from all their rows.
     `new_rows` aggregates the new rows alone and replaces the key with that,
-    which is what a plain incremental model with a unique key does.
+    which is what a plain incremental model with a unique key does. An empty
+    target is loaded in full.
     """
     if mode not in ("full_keys", "new_rows"):
         raise ValueError(f"unknown mode {mode!r}")
-    fresh = source.where(F.col(at) > target.agg(F.max(target_at)).scalar())
+    last = target.agg(F.max(target_at)).scalar()
+    fresh = source.where(F.coalesce(F.col(at) > last, last.isNull()))
     rows = source.join(fresh.select(*keys).distinct(), list(keys), "left_semi") if mode == "full_keys" else fresh
     return upsert(target, rows.groupBy(*keys).agg(*aggregates), keys)
 
@@ -85,24 +100,29 @@ def incremental_by_day(
     """Refresh a per-(key, day) aggregate from the last loaded day on.
 
     With `late_rows` the last loaded day is rebuilt as well; without, rows that
-    arrive late for that day are missed.
+    arrive late for that day are missed. An empty target is loaded in full.
     """
     last = target.agg(F.max(day)).scalar()
     newer = F.col(day) >= last if late_rows else F.col(day) > last
-    fresh = source.where(newer).groupBy(*keys, day).agg(*aggregates)
+    fresh = source.where(F.coalesce(newer, last.isNull())).groupBy(*keys, day).agg(*aggregates)
     return upsert(target, fresh, [*keys, day])
 
 
-def missing_dates(log: DataFrame, day: str, lo: str | Column, hi: str | Column) -> DataFrame:
-    """Dates of a range with no row in the log."""
+def missing_dates(log: DataFrame, day: str, lo: str | Column, hi: str | Column, done: Column | None = None) -> DataFrame:
+    """Dates of a range without a finished run in the log.
+
+    `lo` and `hi` are dates or aggregates over the whole log; `done` tells the
+    rows that count (step and status), so that a gap at the end, up to a
+    finalized date, is seen too.
+    """
     ends = log.agg(*[e.alias(n) if isinstance(e, Column) else F.lit(e).cast("date").alias(n) for e, n in ((lo, "lo"), (hi, "hi"))])
     wanted = ends.select(F.explode(days("lo", "hi")).alias("missing_date"))
-    done = log.select(F.col(day).cast("date").alias("_done")).distinct()
-    return wanted.join(done, F.col("missing_date") == F.col("_done"), "left_anti")
+    finished = (log if done is None else log.where(done)).select(F.col(day).cast("date").alias("_done")).distinct()
+    return wanted.join(finished, F.col("missing_date") == F.col("_done"), "left_anti")
 
 
-def first_missing_date(log: DataFrame, day: str, lo: str | Column, hi: str | Column) -> DataFrame:
-    return missing_dates(log, day, lo, hi).agg(F.min("missing_date").alias("next_date"))
+def first_missing_date(log: DataFrame, day: str, lo: str | Column, hi: str | Column, done: Column | None = None) -> DataFrame:
+    return missing_dates(log, day, lo, hi, done).agg(F.min("missing_date").alias("next_date"))
 
 
 def check_date_range(start: dt.date, end: dt.date, first: dt.date, last: dt.date) -> None:
@@ -116,13 +136,16 @@ def check_date_range(start: dt.date, end: dt.date, first: dt.date, last: dt.date
 def backfill(build: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> str:
     """Rebuild the days of a range in one job; running it again gives the same table.
 
-    A range that reaches outside the days of the source is refused.
+    Days of the range without rows end empty. A range that reaches outside the
+    days of the source is refused, and so is a source without rows.
     """
-    from strataloom.sources.sinks import replace_partitions
+    from strataloom.sources.sinks import replace_days
 
     span = build.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if span["first"] is None:
+        raise ValueError("the source has no rows, so there is nothing to rebuild from")
     check_date_range(start, end, span["first"], span["last"])
-    return replace_partitions(build.where(F.col(day).between(F.lit(start), F.lit(end))), path, [day])
+    return replace_days(build, path, day, start, end)
 
 
 def append_run(spark: SparkSession, path: str, run_id: str, step: str, logical_date: dt.date, attempt: int, status: str, rows: int, started: dt.datetime, message: str = "") -> None:
@@ -150,13 +173,18 @@ def write_logged(df: DataFrame, path: str, log_path: str, run_id: str, step: str
     try:
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     except Exception as error:
-        append_run(df.sparkSession, log_path, run_id, step, logical_date, attempt, "error", 0, started, str(error)[:500])
+        append_run(df.sparkSession, log_path, run_id, step, logical_date, attempt, "error", 0, started, str(error))
         raise
     rows = seen.get["rows"]
     append_run(df.sparkSession, log_path, run_id, step, logical_date, attempt, "success", rows, started)
     return rows
 
 
+def log_skipped(spark: SparkSession, log_path: str, run_id: str, step: str, logical_date: dt.date, reason: str, attempt: int = 1) -> None:
+    """Log a step that was not run because its date is done already or not final yet."""
+    append_run(spark, log_path, run_id, step, logical_date, attempt, "skipped", 0, dt.datetime.now(dt.timezone.utc), reason)
+
+
 def latest_status(log: DataFrame, step: str, order: Sequence[Column]) -> DataFrame:
     return first_per_key(log, [step], order)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.functions.masks import MASKS
+from strataloom.session import cut_lineage
 
 # A reader with several roles gets the view of the first one here.
 ROLE_ORDER = ("auditor", "analyst", "marketing")
@@ -17,13 +18,16 @@ def effective_role(roles: Sequence[str], order: Sequence[str] = ROLE_ORDER) -> s
     return next((r for r in order if r in roles), None)
 
 
-def secure_view(df: DataFrame, policy: Mapping[str, Mapping[str, str]], roles: Sequence[str]) -> DataFrame:
+def secure_view(df: DataFrame, policy: Mapping[str, Mapping[str, str]], roles: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Project each column through the mask of the reader's strongest role.
 
     `policy` maps a column to {role: mask}; the entry `other` serves roles that
-    are not listed. A column without a policy is shown as it is, and a NULL
+    are not listed. Columns named in `keep` are shown as they are; a column that
+    has neither is refused, so that a new one never shows by oversight. A NULL
     keeps the type of its column.
     """
+    if (open_ := [c for c in df.columns if c not in policy and c not in keep]):
+        raise ValueError(f"column {open_[0]!r} has no policy")
     role = effective_role(roles)
     types = dict(df.dtypes)
 
@@ -79,16 +83,18 @@ def mask_by_register(df: DataFrame, register: Mapping[str, str], handling: Mappi
     return df.select(*[(F.lit(None).cast(types[c]) if mask_of(c) == "null" else MASKS[mask_of(c)](c)).alias(c) for c in known])
 
 
-def privilege_matrix(grants: DataFrame, role: str = "role_name", item: str = "object_name") -> DataFrame:
+def privilege_matrix(grants: DataFrame, role: str = "role_name", item: str = "object_name", buckets: int = 8) -> DataFrame:
     """Every role and object of a grant list with whether the grant exists.
 
-    Both lists are distinct names of a catalog, so their product is as small as
-    the catalog; it is built from the two arrays in one row, not by a join.
+    The grants are worked out once. Every role meets every object, bucket by
+    bucket of the objects, so neither list is gathered in a row or a task.
     """
-    names = grants.agg(F.collect_set(role).alias("roles"), F.collect_set(item).alias("items"))
-    pairs = names.select("items", F.explode("roles").alias(role)).select(role, F.explode("items").alias(item))
-    held = grants.select(role, item).distinct().withColumn("can_select", F.lit(True))
-    return pairs.join(held, [role, item], "left").withColumn("can_select", F.coalesce("can_select", F.lit(False)))
+    held = cut_lineage(grants.select(role, item).distinct())
+    number = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
+    roles = held.select(role).distinct().withColumn("_bucket", number)
+    items = held.select(item).distinct().withColumn("_bucket", F.pmod(F.xxhash64(item), F.lit(buckets)).cast("int"))
+    pairs = roles.join(items, "_bucket").select(role, item)
+    return pairs.join(held.withColumn("can_select", F.lit(True)), [role, item], "left").withColumn("can_select", F.coalesce("can_select", F.lit(False)))
 
 
 def forbidden_grants(grants: DataFrame, forbidden: Column) -> DataFrame:

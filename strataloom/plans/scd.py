@@ -44,7 +44,8 @@ def scd2_merge(dim: DataFrame, source: DataFrame, keys: Sequence[str], tracked:
     the same source again changes nothing, and a second change on the day a
     version began replaces that version instead of leaving an empty range.
     Columns that are not tracked keep the value of the open version until the
-    next tracked change.
+    next tracked change. A change dated before the open version began fails the
+    query. NULL keys are compared as values.
     """
     day = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     attrs = [c for c in dim.columns if c not in {*keys, "valid_from", "valid_to", "is_current"}]
@@ -52,13 +53,16 @@ def scd2_merge(dim: DataFrame, source: DataFrame, keys: Sequence[str], tracked:
     current = dim.where(F.col("valid_to") == open_end()).select(
         *keys, *[F.col(a).alias(f"old_{a}") for a in attrs], F.col("valid_from").alias("old_from"), F.lit(True).alias("in_dim")
     )
-    incoming = source.select(*keys, *[F.col(a).alias(f"new_{a}") for a in attrs], F.lit(True).alias("in_source"))
-    joined = current.join(incoming, list(keys), "full_outer")
+    incoming = source.select(*[F.col(k).alias(f"new_key_{k}") for k in keys], *[F.col(a).alias(f"new_{a}") for a in attrs], F.lit(True).alias("in_source"))
+    equal = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"new_key_{k}")) for k in keys])
+    joined = current.join(incoming, equal, "full_outer").withColumns({k: F.coalesce(F.col(k), F.col(f"new_key_{k}")) for k in keys})
 
     in_dim, in_source = F.col("in_dim").isNotNull(), F.col("in_source").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in tracked])
     changed = in_dim & in_source & ~same
     began_today = F.col("old_from") == day
+    late = F.raise_error(F.concat(F.lit("change dated before the open version of "), F.to_json(F.struct(*keys))))
+    changed = F.when(changed & (F.col("old_from") > day), late.cast("boolean")).otherwise(changed)
 
     def version(side: str, start: Column, end: Column, is_current: bool) -> Column:
         return F.struct(

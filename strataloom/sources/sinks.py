@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,20 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> str:
     return path
 
 
+def replace_days(df: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> str:
+    """Delete the days of a range and insert those of `df`; a day without new rows ends empty.
+
+    The folders of the range are dropped first, at most one per day. A run that
+    fails between the two steps is mended by running it again.
+    """
+    root = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    for n in range((end - start).days + 1):
+        folder = f"{day}={start + dt.timedelta(days=n)}"
+        files.delete(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path, folder), True)
+    return replace_partitions(df.where(F.col(day).between(F.lit(start), F.lit(end))), path, [day])
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Managed table, replaced as a whole."""
     df.write.mode("overwrite").saveAsTable(name)
@@ -54,16 +70,22 @@ def stamped(df: DataFrame, column: str = "loaded_at") -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def compact(spark: SparkSession, source: str, target: str, target_mb: int = 128) -> str:
-    """Rewrite many small files into fewer of about `target_mb` each.
+def compact(spark: SparkSession, source: str, target: str, target_mb: int = 128, by: list[str] | None = None) -> str:
+    """Rewrite many small files into fewer of about `target_mb` each, folders (`by`) kept.
 
-    The file count comes from the sizes on disk, so it grows with the table.
-    The new copy goes to another path; readers switch when it is complete.
+    REBALANCE sizes the files by the advisory partition size, without a count
+    beforehand and without dealing every row anew. The new copy goes to another
+    path; readers switch when it is complete.
     """
-    df = spark.read.parquet(source)
-    size = file_layout(df).agg(F.sum("bytes")).first()[0] or 0
-    files = max(1, -(-size // (target_mb * 1024 * 1024)))
-    df.repartition(int(files)).write.mode("overwrite").parquet(target)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, f"{target_mb}m")
+    try:
+        rows = spark.read.parquet(source)
+        writer = rows.hint("rebalance", *(by or [])).write.mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(target)
+    finally:
+        spark.conf.set(setting, before)
     return target
 
 

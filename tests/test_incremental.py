@@ -41,6 +41,42 @@ def test_merge_updates_and_inserts(spark):
     assert _set(inc.merge_rows(target, updates, "k", ["price"])) == {(1, "a", 5), (2, "b", None), (3, None, 9)}
 
 
+def test_repeated_source_keys_are_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    for query in (lambda: inc.upsert(target, source, ["k"]), lambda: inc.merge_rows(target, source, "k", ["v"])):
+        with pytest.raises(Exception, match="several source rows for one key"):
+            query().collect()
+
+
+def test_first_load_takes_all(spark):
+    rows = spark.createDataFrame([(1, 1), (1, None), (2, 3)], "k int, at int")
+    stats = [F.count("*").alias("n"), F.max("at").alias("last")]
+    empty = rows.where("false").groupBy("k").agg(*stats)
+    for mode in ("full_keys", "new_rows"):
+        assert _set(inc.incremental_by_key(empty, rows, ["k"], "at", "last", stats, mode)) == {(1, 2, 1), (2, 1, 3)}
+    daily = rows.where("false").groupBy("k", "at").agg(F.count("*").alias("n"))
+    assert _set(inc.incremental_by_day(daily, rows, ["k"], "at", [F.count("*").alias("n")])) == {(1, 1, 1), (1, None, 1), (2, 3, 1)}
+
+
+def test_backfill_empties_days_and_refuses_no_rows(spark):
+    path = new_dir(spark, "emptied")
+    rows = spark.createDataFrame([(D(2024, 1, d), d) for d in (1, 2, 3)], "day date, n int")
+    sinks.write_partitioned(rows, path, ["day"])
+    for _ in range(2):
+        inc.backfill(rows.where("n <> 2"), path, "day", D(2024, 1, 1), D(2024, 1, 3))
+        assert {r.n for r in spark.read.parquet(path).collect()} == {1, 3}
+    with pytest.raises(ValueError, match="no rows"):
+        inc.backfill(rows.where("false"), path, "day", D(2024, 1, 1), D(2024, 1, 3))
+
+
+def test_whole_message_of_a_failed_run(spark):
+    log = new_dir(spark, "faillog")
+    with pytest.raises(Exception):
+        inc.write_logged(spark.range(1).select(F.raise_error(F.lit("x" * 2000))), new_dir(spark, "fail"), log, "r", "s", D(2024, 1, 1))
+    assert "x" * 2000 in spark.read.parquet(log).first().message
+
+
 def test_null_condition_touches_nothing(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 50)], "k int, x int")
     assert _set(inc.delete_where(df, F.col("x") > 10)) == {(1, 5), (2, None)}

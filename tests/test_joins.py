@@ -76,3 +76,16 @@ def test_left_join_of_a_hot_right_side(spark):
     assert got.columns == plain.columns
     assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0 and got.count() == 53
     assert sorted((r.k for r in joins.without_match(left, right, "k", "j").collect()), key=str) == [2, 2, None]
+
+
+def test_order_without_customer_keeps_its_row(spark):
+    from types import SimpleNamespace
+
+    from strataloom.catalog.joining import j15
+
+    t = SimpleNamespace(
+        orders=spark.createDataFrame([(1, 10), (2, 99)], "o_orderkey int, o_custkey int"),
+        customer=spark.createDataFrame([(10, 5)], "c_custkey int, c_nationkey int"),
+        supplier=spark.createDataFrame([(7, 5), (8, 5)], "s_suppkey int, s_nationkey int"),
+    )
+    assert {tuple(r) for r in j15(t).collect()} == {(1, 7), (2, None)}

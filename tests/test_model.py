@@ -50,6 +50,14 @@ def _merge(dim, rows, day):
     return scd.scd2_merge(dim, source, ["id"], ["city"], day)
 
 
+def test_late_change_is_refused_and_null_keys_are_kept_once(people):
+    with pytest.raises(Exception, match="before the open version"):
+        _merge(people, [(1, "Parnu", "Ann")], "2024-06-01").collect()
+    once = _merge(people, [(None, "Voru", "No")], "2025-06-01")
+    again = _merge(once, [(None, "Voru", "No")], "2025-07-01")
+    assert once.where("id IS NULL").count() == 1 and again.where("id IS NULL").count() == 1
+
+
 def test_merge_closes_adds_and_keeps(people):
     merged = _merge(people, [(1, "Parnu", "Ann"), (2, None, "Bob"), (4, "Valga", "Di")], "2025-06-01")
     assert _rows(merged, "id", "city", "name", "valid_from", "valid_to", "is_current") == [

@@ -48,6 +48,13 @@ def test_strongest_role_decides(spark, roles, seen):
     assert view.dtypes == df.dtypes
 
 
+def test_a_column_without_policy_is_refused(spark):
+    df = spark.createDataFrame([("Ann", "a@x", "123")], "name string, mail string, ssn string")
+    with pytest.raises(ValueError, match="ssn"):
+        p.secure_view(df, POLICY, ["auditor"])
+    assert tuple(p.secure_view(df, POLICY, [], keep=["ssn"]).first()) == (None, "REDACTED", "123")
+
+
 def test_region(spark):
     df = spark.createDataFrame([("EE", "x"), ("FI", "y"), (None, "z")], "country string, mail string")
     assert p.region_rows(df, "country", "EE").count() == 1
