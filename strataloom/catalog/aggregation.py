@@ -62,15 +62,19 @@ def g03(t):
     """,
 )
 def g04(t):
-    return (
-        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("p_type")
-        .agg(
-            F.count("*").alias("sale_count"),
-            numbers.total("l_quantity").alias("quantity"),
-            numbers.total(net(), 4).alias("revenue"),
-            numbers.mean("l_extendedprice").alias("avg_price"),
-        )
+    """Lines are summed per part first; part meets one row per key."""
+    per_part = t.lineitem.groupBy("l_partkey").agg(
+        F.count("*").alias("n"),
+        numbers.exact_sum("l_quantity").alias("quantity"),
+        numbers.exact_sum(net(), 4).alias("revenue"),
+        numbers.exact_sum("l_extendedprice").alias("price"),
+    )
+    typed = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type")
+    return typed.agg(
+        F.sum("n").alias("sale_count"),
+        F.sum("quantity").cast("double").alias("quantity"),
+        F.sum("revenue").cast("double").alias("revenue"),
+        numbers.mean_of_sums("price", "n").alias("avg_price"),
     )
 
 

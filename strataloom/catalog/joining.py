@@ -19,11 +19,10 @@ def revenue():
     f"SELECT p_type, COUNT(*) AS line_count, {sql_total('l_extendedprice')} AS gross FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
 )
 def j01(t):
-    return (
-        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("p_type")
-        .agg(F.count("*").alias("line_count"), numbers.total("l_extendedprice").alias("gross"))
-    )
+    """Lines are summed per part first; part meets one row per key."""
+    per_part = t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("n"), numbers.exact_sum("l_extendedprice").alias("sum"))
+    typed = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type")
+    return typed.agg(F.sum("n").alias("line_count"), F.sum("sum").cast("double").alias("gross"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,19 +48,19 @@ def days(lo: str | Column, hi: str | Column, step: int = 1) -> Column:
     return F.sequence(_col(lo), _col(hi), F.make_dt_interval(F.lit(step)))
 
 
-def part_of_day(hour: str | Column) -> Column:
-    h = _col(hour)
-    return (
-        F.when(h.between(6, 11), "Morning")
-        .when(h.between(12, 13), "Noon")
-        .when(h.between(14, 17), "Afternoon")
-        .when(h.between(18, 22), "Evening")
-        .otherwise("Night")
-    )
+#: First hour and name of each part of the day; hours before the first belong to the last.
+DAY_BANDS = ((0, "small hours"), (5, "early"), (9, "forenoon"), (12, "midday"), (15, "late"), (19, "dusk"), (23, "small hours"))
+
+
+def part_of_day(hour: str | Column, bands: Sequence[tuple[int, str]] = DAY_BANDS) -> Column:
+    name = F.lit(bands[-1][1])
+    for first, label in sorted(bands):
+        name = F.when(_col(hour) >= first, label).otherwise(name)
+    return name
 
 
-def is_business_hour(hour: str | Column) -> Column:
-    return _col(hour).between(8, 17)
+def is_business_hour(hour: str | Column, opens: int = 7, closes: int = 19) -> Column:
+    return (_col(hour) >= opens) & (_col(hour) < closes)
 
 
 def parse_iso(col: str | Column) -> Column:

@@ -30,7 +30,8 @@ def exact_sum(col: str | Column, places: int = 2) -> Column:
     """Sum of values with at most `places` decimals, free of rounding errors.
 
     Values are added as whole units (cents), which is much cheaper than turning
-    every double into a decimal; the decimal sum cannot overflow.
+    every double into a decimal; the decimal sum cannot overflow. A value with
+    more decimals, NaN or one beyond the units of a bigint is refused.
     """
     return F.sum(_units(col, places)) * _unit(places)
 
@@ -45,13 +46,23 @@ def mean(col: str | Column, places: int = 2) -> Column:
     return F.round(F.avg(_units(col, 2)) * _unit(2), places).cast("double")
 
 
+def mean_of_sums(units: str | Column, count: str | Column, places: int = 2) -> Column:
+    """Rounded average from partial exact sums (money) and counts."""
+    return F.round((F.sum(units).cast("decimal(34,6)") / F.sum(count).cast("decimal(18,0)")).cast("decimal(28,6)"), places).cast("double")
+
+
 def tidy(col: str | Column, places: int) -> Column:
     """Double with its floating-point noise removed, for values that have at most `places` decimals."""
     return F.floor(_col(col) * float(10**places) + 0.5) / F.lit(float(10**places))
 
 
 def _units(col: str | Column, places: int) -> Column:
-    return F.floor(_col(col) * float(10**places) + 0.5).cast("decimal(18,0)")
+    """Whole units of 10^-places; a value that is none (more decimals, NaN, too large) fails the query."""
+    scaled = _col(col) * float(10**places)
+    whole = F.floor(scaled + 0.5)
+    off = ~(F.abs(scaled - whole) <= 0.01)
+    refuse = F.raise_error(F.concat(F.lit(f"not a whole number of units of 1e-{places}: "), _col(col).cast("string")))
+    return F.when(off, refuse.cast("decimal(19,0)")).otherwise(whole.cast("decimal(19,0)"))
 
 
 def _unit(places: int) -> Column:

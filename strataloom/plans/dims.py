@@ -58,15 +58,15 @@ def date_range(spark: SparkSession, lo: str, hi: str, day: str = "day") -> DataF
     return ends.select(F.explode(dates.days("lo", "hi")).alias(day))
 
 
-def time_dim(spark: SparkSession) -> DataFrame:
-    """The 24 hours of a day."""
+def time_dim(spark: SparkSession, bands: Sequence[tuple[int, str]] = dates.DAY_BANDS, opens: int = 7, closes: int = 19) -> DataFrame:
+    """The 24 hours of a day; `bands` names the parts of the day by their first hour."""
     h = F.col("id").cast("bigint")
     return spark.range(24).select(
         (h + 1).alias("time_key"),
         h.alias("hour"),
-        F.lit("00-59").alias("minute_block"),
-        dates.part_of_day(h).alias("part_of_day"),
-        dates.is_business_hour(h).alias("is_business_hour"),
+        F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":00")).alias("starts_at"),
+        dates.part_of_day(h, bands).alias("part_of_day"),
+        dates.is_business_hour(h, opens, closes).alias("is_business_hour"),
     )
 
 

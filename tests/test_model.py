@@ -133,5 +133,7 @@ def test_fixed_calendar(spark):
 def test_time_dimension(spark):
     hours = {r.hour: r for r in dims.time_dim(spark).collect()}
     assert len(hours) == 24
-    assert [hours[h].part_of_day for h in (5, 6, 12, 14, 18, 23)] == ["Night", "Morning", "Noon", "Afternoon", "Evening", "Night"]
-    assert [h for h in hours if hours[h].is_business_hour] == list(range(8, 18))
+    assert [hours[h].part_of_day for h in (4, 5, 9, 12, 15, 19, 23)] == ["small hours", "early", "forenoon", "midday", "late", "dusk", "small hours"]
+    assert [h for h in hours if hours[h].is_business_hour] == list(range(7, 19))
+    own = {r.hour: r for r in dims.time_dim(spark, bands=((6, "day"), (20, "night")), opens=9, closes=10).collect()}
+    assert [own[h].part_of_day for h in (5, 6, 19, 20)] == ["night", "day", "day", "night"] and [h for h in own if own[h].is_business_hour] == [9]
