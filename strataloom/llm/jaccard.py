@@ -4,13 +4,14 @@ A text is the set of its word shingles. Sets are tiled by size band: in a band,
 the hash space is cut into one more segment than two linked sets of that size
 can have different members, so linked sets agree on a whole segment. A tile is
 the sets of one band (or the edge of the next smaller one) with equal members
-in one segment. In a tile, sets are compared with leading sets only: first by
-bitmaps, whose bits set on one side alone bound the overlap from above, then by
-exact intersection of sorted arrays. After each round linked sets are one
-component; tiles that still hold two components go on without the leaders just
-used and with four times as many new ones. So every pair of a tile is either
-compared or already connected, and large groups of near copies end after a
-round. Equal sets are one class from the start.
+in one segment. Pairs of a tile are compared first by bitmaps, whose bits set
+on one side alone bound the overlap from above, then by exact intersection of
+sorted arrays. Two rounds compare a tile's sets with a few leading sets only;
+after each, linked sets are one component, and tiles that hold one component
+are done, so that large groups of near copies are never listed as pairs. What
+is left of a tile is compared in whole, block by block, and only pairs that the
+bitmaps leave open and that are not connected yet come out. So every pair of a
+tile is compared or already connected. Equal sets are one class from the start.
 
 Members and sets are 64-bit hashes. A segment that is empty on both sides says
 nothing; sets with an empty segment are segmented again with other seeds, and a
@@ -35,9 +36,11 @@ from pyspark.sql import functions as F
 from strataloom.llm.batches import small_batches, utf8
 from strataloom.llm.components import components
 from strataloom.llm.words import ODD, mix, shingle_sets
-from strataloom.session import cut_lineage, new_dir
+from strataloom.session import new_dir
 
 BITS = 1024
+LEADERS = (1, 8)  # leading sets of a tile in the rounds before whole tiles are compared
+BLOCK = 2048  # sets of a tile that meet the sets of another block in one step
 
 
 class Bands:
@@ -141,6 +144,60 @@ def _may_link(pairs: DataFrame, bands: Bands) -> DataFrame:
     return pairs.mapInArrow(work, "a bigint, b bigint")
 
 
+def _tile_pairs(tiles: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs of each tile (tile, node, component, n, bits) in different components that bitmaps do not rule out.
+
+    Tiles of more than BLOCK sets are split into blocks, and every two blocks
+    meet in a step of their own.
+    """
+    size = tiles.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = tiles.join(size, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("*", other)
+    rows = rows.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "bits")
+
+    def meet(group: dict[str, np.ndarray], bits: np.ndarray) -> np.ndarray:
+        first, second = np.flatnonzero(group["own"] == group["i"]), np.flatnonzero(group["own"] == group["j"])
+        out = []
+        for a in range(0, len(first), 64):
+            left = first[a : a + 64]
+            only = np.bitwise_count(bits[left][:, None] & ~bits[second]).sum(2, dtype=np.int64)
+            others = np.bitwise_count(bits[second] & ~bits[left][:, None]).sum(2, dtype=np.int64)
+            n, m = group["n"][left][:, None], group["n"][second]
+            overlap = np.minimum(n - only, m - others)
+            fits = (bands.denominator * overlap >= bands.numerator * (n + m - overlap)) & (group["component"][left][:, None] != group["component"][second])
+            x, y = np.nonzero(fits)
+            out.append(np.stack([group["node"][left[x]], group["node"][second[y]]]))
+        return np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["tile", "i", "j", "own", "node", "component", "n"]
+        held: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in names}
+        marks = np.empty((0, BITS // 64), np.uint64)
+
+        def found(end: int) -> pa.RecordBatch:
+            """Compare the groups among the first `end` held rows."""
+            key = np.stack([held[c][:end] for c in ("tile", "i", "j")])
+            begins = np.append(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))), end) if end else [0]
+            pairs = [meet({c: held[c][a:b] for c in names}, marks[a:b]) for a, b in zip(begins, begins[1:], strict=False) if b - a > 1]
+            both = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
+            return pa.RecordBatch.from_pydict({"a": both.min(0), "b": both.max(0)} if both.size else {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+        for batch in batches:
+            held = {c: np.concatenate([held[c], np.asarray(batch.column(c)).astype(np.int64)]) for c in names}
+            marks = np.concatenate([marks, np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)])
+            if not len(marks):
+                continue
+            same = np.ones(len(marks), bool)
+            for c in ("tile", "i", "j"):
+                same &= held[c] == held[c][-1]
+            end = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            yield found(end)
+            held, marks = {c: v[end:] for c, v in held.items()}, marks[end:]
+        yield found(len(marks))
+
+    return rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").mapInArrow(work, "a bigint, b bigint")
+
+
 def _linked(pairs: DataFrame, words: int, bands: Bands) -> DataFrame:
     """The pairs (a, b, text_a, text_b) whose sets are linked, by intersection of sorted arrays."""
 
@@ -191,23 +248,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
     marks = _written(marks.join(involved.withColumnRenamed("doc_id", "node"), "node", "left_semi"), "marks")
     texts = _written(docs.join(involved, "doc_id", "left_semi").distinct(), "texts")
 
-    leaders, label = 1, None
-    while not tiles.isEmpty():
+    label = None
+
+    def verified(pairs: DataFrame, links: DataFrame) -> DataFrame:
+        read = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+        return _written(links.union(_linked(read.select("a", "b", "text_a", "text_b"), words, bands)).distinct(), "links")
+
+    for leaders in LEADERS:
         lead = tiles.groupBy("tile", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("part")).agg(F.min("node").alias("lead")).select("tile", "lead")
         pairs = tiles.join(lead, "tile").where("node <> lead")
         if label is not None:
             pairs = pairs.join(label.select(F.col("node").alias("lead"), F.col("component").alias("of_lead")), "lead").where("component <> of_lead")
         pairs = pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         marked = pairs.join(marks.toDF("a", "n_a", "bits_a"), "a").join(marks.toDF("b", "n_b", "bits_b"), "b")
-        open_ = _written(_may_link(marked.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bands).distinct(), "pairs")
-        read = open_.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        links = _written(links.union(_linked(read.select("a", "b", "text_a", "text_b"), words, bands)).distinct(), "links")
-        found = cut_lineage(components(links))
+        links = verified(_written(_may_link(marked.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bands), "pairs"), links)
         # What has led is compared with its whole tile; tiles within one component are done.
         rest = tiles.select("tile", "node").join(lead.withColumnRenamed("lead", "node"), ["tile", "node"], "left_anti")
-        label = _written(tiles.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
+        label = _written(tiles.select("node").distinct().join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
         tiles = _written(_several(rest.join(label, "node"), "component"), "tiles")
-        leaders *= 4
+    links = verified(_written(_tile_pairs(tiles.join(marks, "node"), bands).distinct(), "pairs"), links)
 
     found = components(links)
     answer = sets.join(classes, "set_hash", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")

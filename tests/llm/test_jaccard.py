@@ -90,7 +90,8 @@ def test_planted_variants(spark, size, numerator, denominator):
 
 
 def test_tiles_with_several_components(spark, monkeypatch):
-    """Chains in one tile, where the first leader is linked with few: later leaders must find the rest."""
+    """Chains in one tile, where the leaders are linked with few: whole tiles must give the rest, in blocks too."""
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
     rnd = random.Random(11)
     base = [f"b{i}" for i in range(400)]
     rows = []
