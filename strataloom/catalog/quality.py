@@ -191,12 +191,11 @@ def _ranges(versions, prefix):
 
 def checked_orders(t):
     """Raw orders with their versions and the flags of failed rules, in one pass; and the rules."""
-    base = raw_orders(t).withColumns(
-        {"clean_order": text.blank_to_null("order_id"), "clean_store": text.blank_to_null("store_id"), "clean_product": text.blank_to_null("product_id")}
-    )
-    base = q.mark_duplicates(base, "clean_order", "is_repeated")
-    base = asof_join(base, _ranges(product_versions(t), "product"), "clean_product", "order_date", "product", "product_from", "product_to", "left")
-    base = asof_join(base, _ranges(store_versions(t), "store"), "clean_store", "order_date", "store", "store_from", "store_to", "left")
+    # Only raw columns cross the shuffles; what follows from them is worked out behind the last join.
+    clean = {name: text.blank_to_null(c) for name, c in (("clean_order", "order_id"), ("clean_store", "store_id"), ("clean_product", "product_id"))}
+    base = q.mark_duplicates(raw_orders(t), clean["clean_order"], "is_repeated")
+    base = asof_join(base, _ranges(product_versions(t), "product"), clean["clean_product"], "order_date", "product", "product_from", "product_to", "left")
+    base = asof_join(base, _ranges(store_versions(t), "store"), clean["clean_store"], "order_date", "store", "store_from", "store_to", "left").withColumns(clean)
 
     def shown(c):
         return F.coalesce(F.col(c).cast("string"), F.lit("<NULL>"))

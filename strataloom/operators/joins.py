@@ -107,7 +107,7 @@ def lookup_row(spark, **keys: tuple[DataFrame, str]) -> DataFrame:
 def asof_join(
     fact: DataFrame,
     versions: DataFrame,
-    key: str,
+    key: str | Column,
     at: str,
     version_key: str,
     valid_from: str = "valid_from",
@@ -134,7 +134,7 @@ def asof_join(
     periods = F.sequence(F.trunc(lo, unit), F.trunc(hi, unit), F.expr(f"interval 1 {grain}"))
     spread = versions.where(lo <= hi).withColumn("_period", F.explode(periods))
     on = (
-        (F.col(key) == F.col(version_key))
+        ((F.col(key) if isinstance(key, str) else key) == F.col(version_key))
         & (F.trunc(F.col(at), unit) == F.col("_period"))
         & F.col(at).between(F.col(valid_from), F.col(valid_to))
     )

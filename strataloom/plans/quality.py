@@ -46,15 +46,16 @@ def row_count_verdict(df: DataFrame, lo: int, hi: int) -> DataFrame:
     return df.agg(n.alias("row_count"), F.when(n.between(lo, hi), "pass").otherwise("fail").alias("status"))
 
 
-def mark_duplicates(df: DataFrame, key: str, flag: str) -> DataFrame:
+def mark_duplicates(df: DataFrame, key: str | Column, flag: str) -> DataFrame:
     """Flag rows whose key occurs again elsewhere.
 
-    Keys are counted with map-side partial counts and only repeated keys are
+    The key may be an expression; it is then not carried along. Keys are counted with map-side partial counts and only repeated keys are
     joined back, so a key with very many copies is never gathered in one task
     to be counted.
     """
-    repeated = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    joined = df.join(repeated.select("_key"), F.col(key) == F.col("_key"), "left")
+    key = F.col(key) if isinstance(key, str) else key
+    repeated = df.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    joined = df.join(repeated.select("_key"), key == F.col("_key"), "left")
     return joined.withColumn(flag, F.col("_key").isNotNull()).drop("_key")
 
 
