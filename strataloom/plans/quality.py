@@ -118,8 +118,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
     Columns are turned into (column, value) pairs and counted per value first:
     repeated values shrink before the shuffle, and all statistics follow from
-    the counts in the same job. Long texts are counted by their SHA-256, so that
-    whole documents are not shuffled.
+    the counts in the same job. Texts of any length are counted by their
+    SHA-256, so that whole documents are not shuffled.
     """
     kinds = dict(df.dtypes)
     names = list(columns or df.columns)
@@ -144,7 +144,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         F.count_if(F.col("value").isNotNull() & (F.col("n") == 1)).alias("unique_count"),
         F.min("number").alias("min_number"),
         F.max("number").alias("max_number"),
-        F.sum(F.col("number").cast("decimal(28,4)") * F.col("n")).cast("double").alias("number_sum"),
+        F.sum(F.col("number") * F.col("n")).alias("number_sum"),
         F.sum(F.when(F.col("number").isNotNull(), F.col("n"))).alias("number_n"),
         F.min("text_length").alias("min_length"),
         F.max("text_length").alias("max_length"),
@@ -168,8 +168,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def _count_key(column: str, kind: str) -> Column:
-    text = F.col(column).cast("string")
-    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text) if kind == "string" else text
+    return F.sha2(column, 256) if kind == "string" else F.col(column).cast("string")
 
 
 def load_verdict(df: DataFrame, column: str) -> DataFrame:
