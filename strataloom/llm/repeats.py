@@ -29,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.batches import binary_column, gather, small_batches, utf8
 from strataloom.llm.words import BYTE, ODD, mix, powers
-from strataloom.session import cut_lineage
 
 LENGTH, GRAM, SPREAD = 100, 24, 16
 PIECE = 1 << 20  # window starts looked at in one go
@@ -42,7 +41,7 @@ NO_ID = (1 << 63) - 1
 INVERSE = pow(ODD, -1, 1 << 64)
 MASK = (1 << 64) - 1
 
-ROWS = "kind int, gram bigint, context bigint, doc bigint, text_hash bigint, first int, n int, offset int"
+ROWS = "kind int, gram bigint, context bigint, doc bigint, variant bigint, first int, n int, offset int"
 REMOVED, WAITS = 0, 1
 
 
@@ -105,7 +104,7 @@ def inverse_powers(n: int) -> np.ndarray:
 
 def settle(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Order by anchor, context and start, and which rows in that order have an earlier equal context."""
-    by = np.lexsort((rows["text_hash"], rows["first"], rows["doc"], rows["context"], rows["gram"]))
+    by = np.lexsort((rows["variant"], rows["first"], rows["doc"], rows["context"], rows["gram"]))
     gram, context, doc, first = (rows[c][by] for c in ("gram", "context", "doc", "first"))
     new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))[: len(by)]
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -124,8 +123,8 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, first, n, offset, gram, context = anchors(*utf8(batch.column("text")), length, GRAM)
-            doc, text_hash = batch.column("doc").to_numpy()[of], batch.column("text_hash").to_numpy()[of]
-            rows = {"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "text_hash": text_hash, "first": first, "n": n, "offset": offset}
+            doc, variant = batch.column("doc").to_numpy()[of], batch.column("variant").to_numpy()[of]
+            rows = {"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "variant": variant, "first": first, "n": n, "offset": offset}
             by, later = settle(rows)
             rows = {k: v[by] for k, v in rows.items()} | {"kind": np.where(later, REMOVED, WAITS)}
             yield _batch(rows)
@@ -160,7 +159,7 @@ def _meet(rows: DataFrame) -> DataFrame:
             several = np.bincount(group, new_context) > 1
             several[0] |= others
             last = np.cumsum(new_context) == new_context.sum()
-            repeated = np.append(False, np.all([rows[c][1:] == rows[c][:-1] for c in ("gram", "context", "doc", "first", "text_hash")], axis=0))
+            repeated = np.append(False, np.all([rows[c][1:] == rows[c][:-1] for c in ("gram", "context", "doc", "first", "variant")], axis=0))
             held = {c: v[last & ~later & ~repeated] for c, v in rows.items()}
             others = bool(several[-1])
             out = later | (several[group] & ~last & ~repeated)
@@ -206,11 +205,11 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
                 data = raw[gather(begin[use], size)]
                 owner = doc[use]
                 yield pa.RecordBatch.from_pydict({
-                    "core": core.view(np.int64), "doc": batch.column("doc").take(pa.array(owner)), "text_hash": batch.column("text_hash").take(pa.array(owner)),
+                    "core": core.view(np.int64), "doc": batch.column("doc").take(pa.array(owner)), "variant": batch.column("variant").take(pa.array(owner)),
                     "first": pa.array(begin[use] - bounds[owner]), "n": pa.array(many), "bytes": binary_column(data, size),
                 })
 
-    return docs.mapInArrow(work, "core bigint, doc bigint, text_hash bigint, first bigint, n bigint, bytes binary")
+    return docs.mapInArrow(work, "core bigint, doc bigint, variant bigint, first bigint, n bigint, bytes binary")
 
 
 def _hash_runs(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -250,8 +249,8 @@ def has_earlier(suffixes: np.ndarray, group: np.ndarray, position: np.ndarray) -
 
 
 def _compare(pieces: DataFrame, length: int) -> DataFrame:
-    """Runs of starts (doc, text_hash, first, n) whose windows start earlier too, from pieces in order of core."""
-    names = ["core", "doc", "text_hash", "first", "n"]
+    """Runs of starts (doc, variant, first, n) whose windows start earlier too, from pieces in order of core."""
+    names = ["core", "doc", "variant", "first", "n"]
 
     def judge(rows: dict[str, np.ndarray], raw: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch | None:
         core = rows["core"]
@@ -274,7 +273,7 @@ def _compare(pieces: DataFrame, length: int) -> DataFrame:
         begin = np.flatnonzero(np.append(True, (np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])))
         size = np.diff(np.append(begin, len(hit)))
         at = hit[begin]
-        return pa.RecordBatch.from_pydict({"doc": rows["doc"][row[at]], "text_hash": rows["text_hash"][row[at]], "first": start[at], "n": size})
+        return pa.RecordBatch.from_pydict({"doc": rows["doc"][row[at]], "variant": rows["variant"][row[at]], "first": start[at], "n": size})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in names}
@@ -293,7 +292,7 @@ def _compare(pieces: DataFrame, length: int) -> DataFrame:
         if found is not None:
             yield found
 
-    return pieces.mapInArrow(work, "doc bigint, text_hash bigint, first bigint, n bigint")
+    return pieces.mapInArrow(work, "doc bigint, variant bigint, first bigint, n bigint")
 
 
 def cover(raw: np.ndarray, bounds: np.ndarray, runs: pa.Array, copy: pa.Array, length: int) -> np.ndarray:
@@ -334,36 +333,54 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_hash", F.xxhash64("text"))
 
 
-def _found(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Runs of covered starts of each (doc, text_hash), and the first document of each text."""
+def _firsts(texts: DataFrame) -> DataFrame:
+    """The first document of each text: first_doc, hash, and `variant`, which tells apart the texts of one doc_id (else 0)."""
+    first = texts.groupBy("text_hash").agg(F.min("doc").alias("doc"))
+    several = texts.groupBy("doc").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low < high").select("doc", F.lit(True).alias("several"))
+    marked = first.join(several, "doc", "left")
+    return marked.select(F.col("doc").alias("first_doc"), F.col("text_hash").alias("hash"), F.when(F.col("several"), F.col("text_hash")).otherwise(0).alias("variant"))
+
+
+# All joins of the texts go by doc alone, so that they share one exchange of the texts; which of
+# several texts of one doc_id is meant is left to a condition that is no equality of two columns.
+def _same_text() -> Column:
+    return (F.col("doc") == F.col("first_doc")) & (F.col("text_hash").bitwiseXOR(F.col("hash")) == 0)
+
+
+def _of_variant() -> Column:
+    return (F.col("doc") == F.col("of_doc")) & ((F.col("of_variant") == 0) | (F.col("of_variant").bitwiseXOR(F.col("text_hash")) == 0))
+
+
+def _found(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+    """Runs of covered starts: of_doc, of_variant, runs."""
     small_batches(texts.sparkSession)
     if length < GRAM + SPREAD or length > 1000:
         raise ValueError(f"length must lie between {GRAM + SPREAD} and 1000")
-    first = texts.groupBy("text_hash").agg(F.min("doc").alias("doc"))
-    firsts = texts.join(first, ["doc", "text_hash"], "left_semi")
-    found = _find_anchors(firsts.select("doc", "text", "text_hash"), length)
-    met = cut_lineage(_meet(found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "first", "text_hash")))
+    more = [c for c in texts.columns if c == "rest"]  # read by no one, but all joins then share one exchange
+    found = _find_anchors(texts.join(firsts, _same_text()).select("doc", "text", "variant", *more), length)
+    met = _meet(found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "first", "variant"))
 
-    waits = met.where(f"kind = {WAITS}").groupBy("doc", "text_hash").agg(F.collect_list(F.struct("gram", "first", "n", "offset")).alias("waits"))
-    pieces = _pieces(texts.join(waits, ["doc", "text_hash"]).select("doc", "text", "text_hash", "waits"), length)
+    waits = met.where(f"kind = {WAITS}").groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("gram", "first", "n", "offset")).alias("waits"))
+    pieces = _pieces(texts.join(waits, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "waits", *more), length)
     compared = _compare(pieces.repartition("core").sortWithinPartitions("core"), length)
 
-    runs = met.where(f"kind = {REMOVED}").select("doc", "text_hash", F.col("first").cast("bigint").alias("first"), F.col("n").cast("bigint").alias("n")).unionByName(compared)
-    return runs.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("first", "n")).alias("runs")), first
+    runs = met.where(f"kind = {REMOVED}").select("doc", "variant", F.col("first").cast("bigint").alias("first"), F.col("n").cast("bigint").alias("n")).unionByName(compared)
+    return runs.groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 
 
-def _marked(texts: DataFrame, length: int, searched: DataFrame) -> DataFrame:
+def _marked(texts: DataFrame, length: int) -> DataFrame:
     """`texts` with the runs to cut (`runs`) and whether it is a later copy of a whole text (`copy`)."""
-    runs, first = _found(searched, length)
-    marked = texts.join(runs, ["doc", "text_hash"], "left").join(first.withColumn("earliest", F.lit(True)), ["doc", "text_hash"], "left")
+    firsts = _firsts(texts)
+    runs = _found(texts, firsts, length)
+    marked = texts.join(runs, _of_variant(), "left").join(firsts, _same_text(), "left")
     none = F.expr("cast(array() as array<struct<first: bigint, n: bigint>>)")
-    return marked.withColumn("runs", F.coalesce("runs", none)).withColumn("copy", F.col("earliest").isNull())
+    return marked.withColumn("runs", F.coalesce("runs", none)).withColumn("copy", F.col("first_doc").isNull())
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes left) of every row."""
     texts = _keyed(docs.select("doc_id", "text")).select("doc", "text", "text_hash")
-    marked = _marked(texts, length, texts).select("doc", "text", "runs", "copy")
+    marked = _marked(texts, length).select("doc", "text", "runs", "copy")
     return _measure(marked, length).select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -372,9 +389,8 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Bytes of a character that a cut leaves incomplete go with it.
     """
-    texts = _keyed(docs.select("doc_id", "text")).select("doc", "text", "text_hash")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("rest"), "doc_id", "text")
-    marked = _marked(_keyed(packed), length, texts).select("rest", "text", "runs", "copy")
+    marked = _marked(_keyed(packed).select("doc", "text", "text_hash", "rest"), length).select("rest", "text", "runs", "copy")
     schema = marked.select("rest", "text").schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
