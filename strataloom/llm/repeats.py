@@ -5,7 +5,7 @@ bytes has an anchor, the smallest hashed GRAM-byte string in it (the leftmost
 of equal ones), so equal windows have equal anchors at the same offset. The
 windows of one anchor are consecutive and cover one context. Contexts that are
 equal as a whole (64-bit hashes of anchor and context) match in all their
-windows: within a task and then by anchor, only the earliest goes on. Where an
+windows: within a batch and then by anchor, only the earliest goes on. Where an
 anchor still has different contexts, its windows are sent on as bytes, in
 groups that agree on all but the outermost SPREAD - 1 bytes. There the suffixes
 are sorted, and the longest previous factor of a suffix reaches LENGTH exactly
@@ -126,12 +126,23 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
             doc, variant = batch.column("doc").to_numpy()[of], batch.column("variant").to_numpy()[of]
             rows = {"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "variant": variant, "first": first, "n": n, "offset": offset}
             by, later = settle(rows)
-            rows = {k: v[by] for k, v in rows.items()} | {"kind": np.where(later, REMOVED, WAITS)}
-            yield _batch(rows)
+            rows = {k: v[by] for k, v in rows.items()}
+            yield _batch({k: v[~later] for k, v in rows.items()} | {"kind": np.full((~later).sum(), WAITS)})
+            yield _batch(joined({k: v[later] for k, v in rows.items()}))
 
     return docs.mapInArrow(work, ROWS)
 
 
+def joined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Settled rows as few long runs; they need no anchor any more and are dealt by document."""
+    by = np.lexsort((rows["first"], rows["variant"], rows["doc"]))
+    doc, variant, first, n = (rows[c][by] for c in ("doc", "variant", "first", "n"))
+    begin = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (variant[1:] != variant[:-1]) | (first[1:] != first[:-1] + n[:-1]))[: len(by)])
+    none = np.zeros(len(begin), np.int64)
+    length = np.add.reduceat(n, begin) if len(begin) else none
+    return {"kind": none, "gram": doc[begin], "context": none, "doc": doc[begin], "variant": variant[begin], "first": first[begin], "n": length, "offset": none}
+
+
 def _meet(rows: DataFrame) -> DataFrame:
     """Settle equal contexts of each anchor; those of anchors left with different contexts wait.
 
