@@ -6,9 +6,9 @@ can have different members, so linked sets agree on a whole segment. A tile is
 the sets of one band (or the edge of the next smaller one) with equal members
 in one segment. Pairs of a tile are compared first by bitmaps, whose bits set
 on one side alone bound the overlap from above, then by exact intersection of
-sorted arrays. Two rounds compare a tile's sets with a few leading sets only;
-after each, linked sets are one component, and tiles that hold one component
-are done, so that large groups of near copies are never listed as pairs. What
+sorted arrays. A first round compares a tile's sets with its leading set only;
+then linked sets are one component, and tiles that hold one component are done,
+so that large groups of near copies are never listed as pairs. What
 is left of a tile is compared in whole, block by block, and only pairs that the
 bitmaps leave open and that are not connected yet come out. So every pair of a
 tile is compared or already connected. Equal sets are one class from the start.
@@ -39,7 +39,7 @@ from strataloom.llm.words import ODD, mix, shingle_sets
 from strataloom.session import new_dir
 
 BITS = 1024
-LEADERS = (1, 8)  # leading sets of a tile in the rounds before whole tiles are compared
+LEADERS = (1,)  # leading sets of a tile in the rounds before whole tiles are compared
 BLOCK = 2048  # sets of a tile that meet the sets of another block in one step
 
 
