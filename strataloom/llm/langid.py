@@ -8,9 +8,12 @@ second pair of arrays the back-off weight of every context. A text takes the
 language of lowest cross-entropy per character.
 
 Rejection is calibrated on sampled documents that the counts have not seen: a
-text is rejected when its cross-entropy lies above the mean of its language by
+text is rejected when its cross-entropy lies above the median of its language by
 more than `SLACK` bits and `TAIL` times the largest deviation seen there, which
-shrinks with the root of the length.
+shrinks with the root of the length. Calibration rows that cost less in another
+language than in that of their label are left out, and so are deviations of more
+than `FENCE` times the `USUAL` quantile: a few mixed, wrongly labelled or garbled
+rows do not move the limit.
 
 The fit uses a bounded sample, about `SAMPLE` labelled rows a language, chosen
 by a hash of doc_id from all rows of that language, whole texts. One in
@@ -40,6 +43,7 @@ ORDER = 4
 SAMPLE = 1500
 CALIBRATION = 5
 SLACK, TAIL = 1.0, 3.0
+USUAL, FENCE = 0.9, 5.0
 PRIME = 0x9E3779B97F4A7C15
 UNKNOWN = "und"
 
@@ -93,7 +97,7 @@ class Models:
     contexts: dict[int, np.ndarray]
     backs: dict[int, np.ndarray]
     unseen: float
-    limits: np.ndarray | None = None  # per language: mean and largest scaled deviation of the cross-entropy
+    limits: np.ndarray | None = None  # per language: median and largest usual scaled deviation of the cross-entropy
 
     def log_probabilities(self, seq: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log2 P of the code at each place of `ends`, given the codes before it, under each language."""
@@ -238,7 +242,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, order: int = ORDER) -> Models | N
         for batch in batches:
             bits, n = shared.value.entropies(batch.column("text").to_pylist())
             at = {lang: i for i, lang in enumerate(shared.value.languages)}
-            own = [(x, b[at[x]], int(k)) for x, b, k in zip(batch.column("lang").to_pylist(), bits, n, strict=True) if x in at and k]
+            own = [(x, b[at[x]], int(k)) for x, b, k in zip(batch.column("lang").to_pylist(), bits, n, strict=True) if x in at and k and b.argmin() == at[x]]
             yield pa.RecordBatch.from_pydict({"lang": [x[0] for x in own], "bits": pa.array([x[1] for x in own], pa.float64()), "n": pa.array([x[2] for x in own], pa.int64())}, schema=pa.schema([("lang", pa.string()), ("bits", pa.float64()), ("n", pa.int64())]))
 
     for r in rows.where("calibrates").select("lang", "text").mapInArrow(measure, "lang string, bits double, n bigint").collect():
@@ -248,12 +252,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, order: int = ORDER) -> Models | N
 
 
 def _limits(pairs: list[tuple[float, int]]) -> tuple[float, float]:
-    """Mean cross-entropy, and the largest deviation above it times the root of the length."""
+    """Median cross-entropy, and the largest usual deviation above it times the root of the length."""
     if not pairs:
         return np.inf, 0.0
     bits, n = np.array(pairs).T
-    mean = float(np.average(bits, weights=n))
-    return mean, float(max(0.0, ((bits - mean) * np.sqrt(n)).max()))
+    middle = float(np.median(bits))
+    above = np.maximum((bits - middle) * np.sqrt(n), 0)
+    return middle, float(above[above <= FENCE * np.quantile(above, USUAL, method="lower")].max())
 
 
 def predict(docs: DataFrame, models: Models | None) -> DataFrame:
@@ -281,8 +286,8 @@ def classify(models: Models, texts: list[str | None]) -> tuple[pa.Array, pa.Arra
     score = 1 / np.exp2(-np.minimum((bits - own[:, None]) * np.sqrt(n)[:, None], 500)).sum(1)
     rejected = np.zeros(len(texts), bool)
     if models.limits is not None:
-        mean, tail = models.limits[best].T
-        rejected = own > mean + SLACK + TAIL * tail / np.sqrt(np.maximum(n, 1))
+        middle, tail = models.limits[best].T
+        rejected = own > middle + SLACK + TAIL * tail / np.sqrt(np.maximum(n, 1))
     none = n == 0
     guess = np.where(none, UNKNOWN, np.array(models.languages, object)[best])
     return pa.array(guess.tolist(), pa.string()), pa.array(np.where(none, 0.0, score)), pa.array(rejected | none), pa.array(own, mask=none)

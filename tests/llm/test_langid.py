@@ -86,3 +86,19 @@ def test_held_out_accuracy(spark):
     assert len(rows) == truth.count() and len(held) > 150
     assert sum(r.lang == r.lang_pred for r in held) >= 0.99 * len(held)
     assert not any(r.rejected for r in rows)
+
+
+def test_a_few_bad_calibration_rows_loosen_nothing(spark, docs):
+    """Garbage and rows of another language among the calibration rows of a language."""
+    clean = langid.fit(docs)
+    calibrates = langid.sampled(spark.range(5000, 9000).selectExpr("id doc_id", "'xa' lang", "'t' text"), 10**6).where("calibrates").limit(3).collect()
+    rnd = random.Random(4)
+    garbage = lambda n: "".join(rnd.choice("qxzjvkwyñøßłþ ") for _ in range(n))
+    texts = [garbage(400), "der die und haus wasser durch kleine gärten " * 20, "läuft durch kleine gärten und " * 30]
+    mixed = docs.unionByName(spark.createDataFrame([(r.doc_id, t, "xa", "z") for r, t in zip(calibrates, texts, strict=True)], DOCS))
+    models = langid.fit(mixed)
+    assert np.allclose(models.limits, clean.limits, atol=0.5)
+    probes = [garbage(n) for n in (60, 100, 300, 1000)]
+    assert langid.classify(models, probes)[2].to_pylist() == [True] * 4
+    told = langid.predict(docs, models).collect()
+    assert not any(r.rejected for r in told)
