@@ -12,9 +12,13 @@ element. Copies of a page count once, so a copied article is not site furniture.
 
 Markup that names its role decides before that: elements for navigation, forms,
 scripts and the like, and classes or ids that name menus, adverts, notices,
-comments and so on, are dropped with all they hold. If the page has `article`
-or `main` elements, the text is what they hold, without those far shorter than
-the longest; otherwise it is every block left that is not mostly links.
+comments and so on, are dropped with all they hold. An `article` or `main`
+element is one region with all that is nested in it, other regions included. A
+page's text is what its regions hold and, unless one of them is `main`, every
+block outside that is not mostly links; regions that are mostly links go too, if
+the page has other text.
+Length decides in one case alone: an article of bare text, without any block
+element, is a teaser if another region of the page has `TEASER` times its text.
 
 The low blocks of a host travel to its pages as one small list per host, by a
 broadcast only if the planner finds the whole table below its size limit.
@@ -44,7 +48,7 @@ from strataloom.session import new_dir
 IMPORTANT = 0.35
 PRESENTATION = 0.1  # share of the parent's presentation in a block's importance
 PAGES = 5
-SHORT_ARTICLE = 0.2  # of the longest article; shorter ones are teasers
+TEASER = 5  # times as long as a teaser
 
 BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = set("head nav aside footer form fieldset button select textarea dialog menu iframe object canvas audio video svg math template noscript map script style title".split())
@@ -68,7 +72,9 @@ class Block:
 
     path: str
     parent: str
-    article: int  # number of the article or main element around it, 0 for none
+    article: int  # number of the outermost article or main element around it, 0 for none
+    main: bool  # whether that holds a main element around the block
+    bare: bool  # stands in the article element itself
     text: str
     linked: int
 
@@ -79,18 +85,20 @@ class Element:
     path: str
     dropped: bool
     article: int
+    main: bool
+    holds: bool
     children: list[str] = field(default_factory=list)
 
 
 @lru_cache(maxsize=4096)
-def _judge(tag: str, raw: str) -> tuple[str, bool, bool]:
-    """Style (tag and classes), whether the element is dropped, whether it holds the article."""
+def _judge(tag: str, raw: str) -> tuple[str, bool, str]:
+    """Style (tag and classes), whether the element is dropped, and `article` or `main` if it holds one."""
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(raw)}
     names = f"{found.get('class', '')} {found.get('id', '')}"
     words = {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", names)}
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    holds = tag in ("article", "main") or role in ("article", "main")
+    holds = next((x for x in ("main", "article") if x in (tag, role)), "")
     dropped = tag in DROPPED or role in ROLES or hidden
     if tag not in ("html", "body", "main"):
         dropped |= bool(words & (NAMES - {"sidebar", "menu", "footer", "navigation"} if words & {"with", "has"} else NAMES)) or bool(words & WEAK and not words & WRAPS)
@@ -100,7 +108,7 @@ def _judge(tag: str, raw: str) -> tuple[str, bool, bool]:
 
 def blocks(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
     """The text blocks of a page in order, and (path, child tags) of its elements."""
-    root = Element("", "", False, 0)
+    root = Element("", "", False, 0, False, False)
     stack, out, styles, articles = [root], [], [], 0
     parts: list[str] = []
     anchor, linked, at, n = 0, 0, 0, len(page)
@@ -112,7 +120,7 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
             parts.clear()
             if text and not stack[-1].dropped:
                 parent = stack[-2].path if len(stack) > 1 else ""
-                out.append(Block(stack[-1].path, parent, stack[-1].article, text, linked))
+                out.append(Block(stack[-1].path, parent, stack[-1].article, stack[-1].main, stack[-1].holds, text, linked))
         linked = 0
 
     def leave() -> None:
@@ -173,11 +181,11 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
             inside = above.article
             if tag == "header" and inside:
                 dropped = above.dropped
-            if holds and not (dropped or above.dropped):
+            if holds and not (inside or dropped or above.dropped):
                 articles += 1
                 inside = articles
             above.children.append(style)
-            stack.append(Element(tag, f"{above.path}/{style}", dropped or above.dropped, inside))
+            stack.append(Element(tag, f"{above.path}/{style}", dropped or above.dropped, inside, above.main or holds == "main", bool(holds)))
             if tag not in BLOCKS and tag not in DROPPED and not holds:
                 stack[-1].tag = tag
     flush()
@@ -236,14 +244,22 @@ def main_text(page: str, low: set[int]) -> str:
     """The main text of one page, without the blocks named in `low`."""
     found = [b for b in blocks(page)[0] if not low or hashed(b.path, b.text) not in low]
     size: dict[int, int] = {}
+    linked: dict[int, int] = {}
     for b in found:
         size[b.article] = size.get(b.article, 0) + len(b.text)
-    articles = {a: s for a, s in size.items() if a}
-    if articles:
-        least = SHORT_ARTICLE * max(articles.values())
-        found = [b for b in found if articles.get(b.article, -1) >= least]
-    else:
-        found = [b for b in found if 2 * b.linked <= len(b.text)]
+        linked[b.article] = linked.get(b.article, 0) + b.linked
+    shaped = {b.article for b in found if not b.bare}
+    longest = max((s for a, s in size.items() if a), default=0)
+    main = any(b.main for b in found)
+
+    def stays(b: Block) -> bool:
+        if not b.article:
+            return not main and 2 * b.linked <= len(b.text)
+        if b.article not in shaped and not b.main and TEASER * size[b.article] < longest:
+            return False
+        return b.main or 2 * linked[b.article] <= size[b.article]
+
+    found = [b for b in found if stays(b)] or [b for b in found if b.article]
     return "\n\n".join(b.text for b in found)
 
 

@@ -58,3 +58,15 @@ def test_query(spark):
         article = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert got[p.page_id] == "\n\n".join(x for x in parts if x), p.page_id
+
+
+def test_regions_hold_all_they_wrap():
+    """Nested regions count with the one around them, short posts and text beside articles stay, lists of links go."""
+    body = "<p>" + "long body " * 40 + "</p>"
+    long = ("long body " * 40).strip()
+    assert main_text(f"<main><h1>Title</h1><p>lead</p><article>{body}</article><p>closing</p></main><p>after</p>", set()) == f"Title\n\nlead\n\n{long}\n\nclosing"
+    assert main_text(f"<article><h2>One</h2>{body}<article><p>inner</p></article></article><article><h2>Two</h2><p>short post</p></article>", set()) == f"One\n\n{long}\n\ninner\n\nTwo\n\nshort post"
+    cards = "".join(f"<article><h3><a href='/{i}'>Card number {i}</a></h3></article>" for i in range(3))
+    assert main_text(f"<div class='x'>{body}<p>end</p></div>{cards}<p><a href='/m'>More</a></p>", set()) == f"{long}\n\nend"
+    assert main_text("<article><p>see <a href='/a'>the very long link of this post</a></p></article>", set()) == "see the very long link of this post"
+    assert main_text(f"<main><p><a href='/t'>Top</a></p>{body}</main>", set()) == f"Top\n\n{long}"
