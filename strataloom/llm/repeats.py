@@ -7,7 +7,10 @@ windows of one anchor are consecutive and cover one context. Contexts that are
 equal as a whole (64-bit hashes of anchor and context) match in all their
 windows: within a batch and then by anchor, only the earliest goes on. Where an
 anchor still has different contexts, its windows are sent on as bytes, in
-groups that agree on all but the outermost SPREAD - 1 bytes. There the suffixes
+groups that agree on all but the outermost SPREAD - 1 bytes. An anchor with more
+than HOT waiting contexts would make such groups without bound, so its windows
+go on one by one, dealt by a hash of all their bytes; of equal ones a batch
+sends only the earliest. There the suffixes
 are sorted, and the longest previous factor of a suffix reaches LENGTH exactly
 if, among its neighbours in suffix order with a common prefix of LENGTH, the
 previous or the next smaller position exists. Texts equal as a whole are
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +40,15 @@ from strataloom.llm.batches import binary_column, gather, small_batches, utf8
 from strataloom.llm.words import BYTE, ODD, mix, powers
 
 LENGTH, GRAM, SPREAD = 100, 24, 16
+HOT = 4096  # waiting contexts of one anchor that are compared as one group
+ITEMS = 2048  # contexts of hot anchors looked at in one go
 PIECE = 1 << 20  # window starts looked at in one go
 NO_ID = (1 << 63) - 1
 INVERSE = pow(ODD, -1, 1 << 64)
 MASK = (1 << 64) - 1
 
 ROWS = "kind int, gram bigint, context bigint, doc bigint, variant bigint, first int, n int, offset int"
-REMOVED, WAITS = 0, 1
+REMOVED, WAITS, WAITS_HOT = 0, 1, 2
 
 
 def anchors(raw: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -143,17 +149,36 @@ def joined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {"kind": none, "gram": doc[begin], "context": none, "doc": doc[begin], "variant": variant[begin], "first": first[begin], "n": length, "offset": none}
 
 
-def _meet(rows: DataFrame) -> DataFrame:
+def _meet(rows: DataFrame, hot: int) -> DataFrame:
     """Settle equal contexts of each anchor; those of anchors left with different contexts wait.
 
     The sorted rows stream by; only the earliest rows of the last context are
-    held back, until it is known whether its anchor has another context.
+    held back, until it is known whether its anchor has another context. Up to
+    `hot` waiting rows of the last anchor are held back too, until it is known
+    whether there are more.
     """
     names = [c.split()[0] for c in ROWS.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {c: np.empty(0, np.int64) for c in names}
         others = False  # whether the anchor of the held rows has shown another context
+        pending = held  # waiting rows of the last anchor, at most `hot`
+        hot_gram: int | None = None  # the last anchor, if it is known to be hot
+
+        def waiting(rows: dict[str, np.ndarray], last: int | None) -> pa.RecordBatch:
+            """The pending and the given rows but those of anchor `last`, unless it is hot; these are pending now."""
+            nonlocal pending, hot_gram
+            rows = {c: np.concatenate([pending[c], v]) for c, v in rows.items()}
+            gram, of, count = np.unique(rows["gram"], return_inverse=True, return_counts=True)
+            many = count > hot
+            if hot_gram is not None:
+                many |= gram == hot_gram
+            stay = ~many & (gram == last) if last is not None else np.zeros(len(gram), bool)
+            if last != hot_gram:
+                hot_gram = last if last is not None and many[gram == last].any() else None
+            pending = {c: v[stay[of]] for c, v in rows.items()}
+            return _batch({c: v[~stay[of]] for c, v in rows.items()} | {"kind": np.where(many[of], WAITS_HOT, WAITS)[~stay[of]]})
+
         for batch in batches:
             rows = {c: np.asarray(batch.column(c)) for c in names}
             known = rows["kind"] == REMOVED
@@ -173,10 +198,10 @@ def _meet(rows: DataFrame) -> DataFrame:
             repeated = np.append(False, np.all([rows[c][1:] == rows[c][:-1] for c in ("gram", "context", "doc", "first", "variant")], axis=0))
             held = {c: v[last & ~later & ~repeated] for c, v in rows.items()}
             others = bool(several[-1])
-            out = later | (several[group] & ~last & ~repeated)
-            yield _batch({c: v[out] for c, v in rows.items()} | {"kind": np.where(later, REMOVED, WAITS)[out]})
-        if others:
-            yield _batch(held | {"kind": np.full(len(held["gram"]), WAITS)})
+            yield _batch({c: v[later] for c, v in rows.items()} | {"kind": np.full(later.sum(), REMOVED)})
+            waits = several[group] & ~last & ~repeated & ~later
+            yield waiting({c: v[waits] for c, v in rows.items()}, int(rows["gram"][-1]))
+        yield waiting({c: v if others else v[:0] for c, v in held.items()}, None)
 
     return rows.mapInArrow(work, ROWS)
 
@@ -185,7 +210,9 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
     """The waiting windows of each document as bytes, in runs of at most SPREAD.
 
     `core` names the bytes that all windows of a full run share; equal windows
-    have equal cores, as the run follows from the offset of the anchor.
+    have equal cores, as the run follows from the offset of the anchor. Windows of
+    hot anchors are runs of their own with all their bytes as core; those with an
+    earlier equal one in the batch come as settled runs without bytes.
     """
     share = length - SPREAD + 1
 
@@ -197,7 +224,13 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
             doc = np.repeat(np.arange(batch.num_rows), count)
             items = waits.flatten()
             first, n, offset = (np.asarray(items.field(c)).astype(np.int64) for c in ("first", "n", "offset"))
-            gram = np.asarray(items.field("gram")).view(np.uint64)
+            hot = items.field("hot").to_numpy(zero_copy_only=False).astype(bool)
+            at = np.flatnonzero(hot)
+            for a in range(0, len(at), ITEMS):
+                use = at[a : a + ITEMS]
+                yield from _hot_windows(batch, raw, bounds, doc[use], first[use], n[use], length)
+            doc, first, n, offset = doc[~hot], first[~hot], n[~hot], offset[~hot]
+            gram = np.asarray(items.field("gram")).view(np.uint64)[~hot]
             anchor = bounds[doc] + first + offset
             for run in range(int(offset.max()) // SPREAD + 1 if len(offset) else 0):
                 # windows whose anchor lies run * SPREAD .. run * SPREAD + SPREAD - 1 bytes after their start
@@ -223,6 +256,28 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(work, "core bigint, doc bigint, variant bigint, first bigint, n bigint, bytes binary")
 
 
+def _hot_windows(batch: pa.RecordBatch, raw: np.ndarray, bounds: np.ndarray, doc: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    """The windows of hot anchors as pieces of one window: the earliest of equal ones, and runs of the others."""
+    row, at = np.repeat(np.arange(len(n)), n), gather(first, n)
+    place = bounds[doc[row]] + at
+    hashed = _hash_runs(raw, place, length)
+    owner, variant = (batch.column(c).to_numpy()[doc[row]] for c in ("doc", "variant"))
+    by = np.lexsort((variant, at, owner, hashed))
+    at, place, hashed, owner, variant = (x[by] for x in (at, place, hashed, owner, variant))
+    windows = np.lib.stride_tricks.sliding_window_view(raw, length)[place]
+    same = np.append(False, (hashed[1:] == hashed[:-1]) & (windows[1:] == windows[:-1]).all(1))  # equal hashes count only with equal bytes
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
+    later = (owner != owner[head]) | (at != at[head])
+    runs = joined({"doc": owner[later], "variant": variant[later], "first": at[later], "n": np.ones(later.sum(), np.int64)})
+    runs = {c: runs[c] for c in ("doc", "variant", "first", "n")}
+    yield pa.RecordBatch.from_pydict({"core": mix(runs["doc"].astype(np.uint64)).view(np.int64), **runs, "bytes": pa.nulls(len(runs["n"]), pa.binary())})
+    keep = ~later
+    yield pa.RecordBatch.from_pydict({
+        "core": mix(hashed[keep] + np.uint64(ODD)).view(np.int64), "doc": owner[keep], "variant": variant[keep],
+        "first": at[keep], "n": np.ones(keep.sum(), np.int64), "bytes": binary_column(windows[keep].reshape(-1), np.full(keep.sum(), length)),
+    })
+
+
 def _hash_runs(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Hash of `size` bytes from each start."""
     total = np.zeros(len(starts), np.uint64)
@@ -290,6 +345,9 @@ def _compare(pieces: DataFrame, length: int) -> DataFrame:
         held: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in names}
         held_raw, held_size = np.empty(0, np.uint8), np.empty(0, np.int64)
         for batch in batches:
+            settled = batch.column("bytes").is_null()
+            yield batch.filter(settled).select(["doc", "variant", "first", "n"])
+            batch = batch.filter(pc.invert(settled))
             rows = {c: np.concatenate([held[c], np.asarray(batch.column(c))]) for c in names}
             raw, bounds = utf8(batch.column("bytes"))
             raw, size = np.concatenate([held_raw, raw]), np.concatenate([held_size, np.diff(bounds)])
@@ -362,17 +420,23 @@ def _of_variant() -> Column:
     return (F.col("doc") == F.col("of_doc")) & ((F.col("of_variant") == 0) | (F.col("of_variant").bitwiseXOR(F.col("text_hash")) == 0))
 
 
+def _dealt(texts: DataFrame, firsts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """What `_meet` settles or leaves waiting, and the pieces of what waits."""
+    more = [c for c in texts.columns if c == "rest"]  # read by no one, but all joins then share one exchange
+    found = _find_anchors(texts.join(firsts, _same_text()).select("doc", "text", "variant", *more), length)
+    met = _meet(found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "first", "variant"), HOT)
+
+    hot = (F.col("kind") == WAITS_HOT).alias("hot")
+    waits = met.where(f"kind <> {REMOVED}").groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("gram", "first", "n", "offset", hot)).alias("waits"))
+    return met, _pieces(texts.join(waits, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "waits", *more), length)
+
+
 def _found(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """Runs of covered starts: of_doc, of_variant, runs."""
     small_batches(texts.sparkSession)
     if length < GRAM + SPREAD or length > 1000:
         raise ValueError(f"length must lie between {GRAM + SPREAD} and 1000")
-    more = [c for c in texts.columns if c == "rest"]  # read by no one, but all joins then share one exchange
-    found = _find_anchors(texts.join(firsts, _same_text()).select("doc", "text", "variant", *more), length)
-    met = _meet(found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "first", "variant"))
-
-    waits = met.where(f"kind = {WAITS}").groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("gram", "first", "n", "offset")).alias("waits"))
-    pieces = _pieces(texts.join(waits, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "waits", *more), length)
+    met, pieces = _dealt(texts, firsts, length)
     compared = _compare(pieces.repartition("core").sortWithinPartitions("core"), length)
 
     runs = met.where(f"kind = {REMOVED}").select("doc", "variant", F.col("first").cast("bigint").alias("first"), F.col("n").cast("bigint").alias("n")).unionByName(compared)

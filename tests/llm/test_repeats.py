@@ -103,3 +103,19 @@ def test_query(spark):
     want = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(rows)]
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op3_repeats"](spark, folder).collect())
     assert got == want and sum(r[2] for r in got) > 0
+
+
+@pytest.mark.parametrize("hot", [0, 5])
+def test_hot_passages_are_dealt_out(spark, monkeypatch, hot):
+    """A passage with other neighbours in every document: right cuts, and no group of pieces with them all."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "ITEMS", 50)
+    rnd = random.Random(3)
+    passage = prose(rnd, 30)
+    rows = [(i, prose(rnd, 25) + rnd.choice(["x", " y"]) + passage + rnd.choice([".", ", "]) + prose(rnd, 25)) for i in rnd.sample(range(1000), 150)]
+    rows += [rows[0], (rows[1][0], rows[2][1] + "z"), (None, rows[3][1] + "q"), (2000, passage), (2001, ("ab" * 60 + prose(rnd, 3)) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert answer(repeats.remove_repeats(docs)) == brute(rows)
+    texts = repeats._keyed(docs).select("doc", "text", "text_hash").cache()
+    pieces = repeats._dealt(texts, repeats._firsts(texts), 100)[1].where("bytes IS NOT NULL")
+    assert max(r["count"] for r in pieces.groupBy("core").count().collect()) < 40
