@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.bpe import round_trip
 from strataloom.llm.exact_copies import exact_copies
+from strataloom.llm.fingerprints import with_next
 from strataloom.llm.jaccard import jaccard_components
 from strataloom.llm.langid import identify
 from strataloom.llm.licences import scan
 from strataloom.llm.matrices import write_matrices
+from strataloom.llm.middle import fill_in_middle, restored
 from strataloom.llm.neighbours import nearest
 from strataloom.llm.packing import pack
 from strataloom.llm.pages import extract
 from strataloom.llm.registry import ORACLE, QUERIES, query
 from strataloom.llm.repeats import remove_repeats
+from strataloom.llm.whitening import whiten
 from strataloom.session import new_dir
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -104,3 +107,45 @@ def op9(spark, read):
 def op10(spark, read):
     """No SQL reads broken markup; tests/llm holds planted articles against it."""
     return extract(read("pages"))
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS digest,
+            regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+        FROM documents
+    ), numbers AS (
+        SELECT *, len(tokens) AS n, CAST('0x' || digest[1:8] AS BIGINT) AS h1, CAST('0x' || digest[9:16] AS BIGINT) AS h2,
+            CAST('0x' || digest[17:24] AS BIGINT) AS h3, CAST('0x' || digest[25:32] AS BIGINT) AS h4 FROM drawn
+    ), cut AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM numbers
+    ), parts AS (
+        SELECT *, array_to_string(tokens[1:a], '') AS p, array_to_string(tokens[a + 1:b], '') AS m, array_to_string(tokens[b + 1:], '') AS s FROM cut
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+    """,
+)
+def op11(spark, read):
+    formed = fill_in_middle(read("documents"))
+    rebuilt = restored(F.col("output"), F.col("form"))
+    return formed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(rebuilt, 256).alias("restored_sha256"))
+
+
+@query("op12_whitening")
+def op12(spark, read):
+    """SQL has no eigenvectors; tests/llm compares with the covariance matrix solved whole."""
+    return whiten(read("embeddings"), components=8)
+
+
+@query("op13_fingerprints")
+def op13(spark, read):
+    """SQL cannot parse by coin tossing; tests/llm compares with a parse of one symbol at a time."""
+    found = with_next(read("documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")

@@ -14,8 +14,8 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
-    assert set(ORACLE) == {"op5_neighbours", "op7_exact_copies"}
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
+    assert set(ORACLE) == {"op5_neighbours", "op7_exact_copies", "op11_fill_in_middle"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
