@@ -8,7 +8,10 @@ from strataloom.catalog.projection import SQL_BAND, quantity_band
 from strataloom.catalog.registry import SQL_REVENUE, query, sql_mean, sql_round, sql_total
 from strataloom.functions import numbers
 from strataloom.operators import aggregates as agg
+from strataloom.operators import bitmaps
 from strataloom.operators.joins import star_join
+from strataloom.session import new_dir
+from strataloom.sources import sinks
 
 def net():
     return numbers.net_price("l_extendedprice", "l_discount")
@@ -83,6 +86,37 @@ def g05(t):
     return t.lineitem.agg(F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"))
 
 
+@query(
+    "g05_distinct_rollup",
+    """
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(quarter(l_shipdate) AS INTEGER) AS ship_quarter, COUNT(DISTINCT l_partkey) AS parts
+    FROM lineitem GROUP BY ALL
+    UNION ALL SELECT CAST(year(l_shipdate) AS INTEGER), NULL, COUNT(DISTINCT l_partkey) FROM lineitem GROUP BY ALL
+    """,
+)
+def g05_rollup(t):
+    """Bitmaps of parts are stored per ship month; quarters and years are counted from them alone."""
+    monthly = bitmaps.id_bitmaps(t.lineitem.withColumn("month", F.trunc("l_shipdate", "MM")), ["month"], "l_partkey")
+    stored = sinks.full_refresh(monthly, new_dir(t.spark, "g05bits"))
+    dated = stored.select(F.year("month").alias("ship_year"), F.quarter("month").alias("ship_quarter"), *bitmaps.STORED)
+    quarters = bitmaps.united(dated, ["ship_year", "ship_quarter"])
+    years = bitmaps.distinct_count(quarters, ["ship_year"], "parts").withColumn("ship_quarter", F.lit(None).cast("int"))
+    return bitmaps.distinct_count(quarters, ["ship_year", "ship_quarter"], "parts").unionByName(years)
+
+
+@query(
+    "g05_trailing_users",
+    """
+    WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM events)
+    SELECT a.day, COUNT(DISTINCT b.user_id) AS users FROM (SELECT DISTINCT day FROM d) a JOIN d b ON b.day BETWEEN a.day - 6 AND a.day GROUP BY 1
+    """,
+)
+def g05_trailing(t):
+    """Different users of the seven days up to each day, from one bitmap a day."""
+    daily = bitmaps.id_bitmaps(t.events.withColumn("day", F.to_date("ts")), ["day"], "user_id")
+    return bitmaps.trailing_distinct(sinks.full_refresh(daily, new_dir(t.spark, "g05days")), "day", 7, "users")
+
+
 @query(
     "g06_segment",
     f"""

@@ -10,9 +10,11 @@ from strataloom.catalog.registry import query, sql_mean, sql_round, sql_total
 from strataloom.catalog.sourcing import write_lines_by_month
 from strataloom.functions import numbers
 from strataloom.operators.aggregates import same_rows
+from strataloom.operators.joins import pruned_by
 from strataloom.plans import incremental as inc
 from strataloom.session import new_dir
 from strataloom.sources import sinks
+from strataloom.sources.versioned import DayTable
 
 CUT = "2024-01-16"
 
@@ -154,11 +156,12 @@ def i06_emptied(t):
     """Two days of the range have lost their rows in the source; both end empty, also when run again."""
     path = new_dir(t.spark, "i06empty")
     rows = t.events.select("event_id", "value", F.to_date("ts").alias("day"))
-    sinks.write_partitioned(rows, path, ["day"])
+    table = DayTable(t.spark, path, "day", rows.schema)
+    table.replace(rows)
     left = rows.where(~F.col("day").isin(dt.date(2024, 1, 6), dt.date(2024, 1, 8)))
     for _ in range(2):
-        inc.backfill(left, path, "day", dt.date(2024, 1, 5), dt.date(2024, 1, 10))
-    return t.spark.read.parquet(path).groupBy(F.col("day").cast("date").alias("day")).agg(F.count("*").alias("event_count"))
+        inc.backfill(left, table, dt.date(2024, 1, 5), dt.date(2024, 1, 10))
+    return table.read().groupBy("day").agg(F.count("*").alias("event_count"))
 
 
 @query(
@@ -169,11 +172,12 @@ def i06_emptied(t):
 def i06(t):
     path = new_dir(t.spark, "i06")
     rows = t.events.select("event_id", "value", F.to_date("ts").alias("day"))
-    sinks.write_partitioned(rows, path, ["day"])
+    table = DayTable(t.spark, path, "day", rows.schema)
+    table.replace(rows)
     rebuilt = rows.withColumn("value", numbers.round_half_up(F.col("value") * 2, 2))
     for _ in range(2):
-        inc.backfill(rebuilt, path, "day", dt.date(2024, 1, 5), dt.date(2024, 1, 10))
-    return t.spark.read.parquet(path).select("event_id", "value", F.col("day").cast("date").alias("day"))
+        inc.backfill(rebuilt, table, dt.date(2024, 1, 5), dt.date(2024, 1, 10))
+    return table.read()
 
 
 @query(
@@ -404,6 +408,25 @@ def i19(t):
     )
 
 
+@query(
+    "i19_pruned_by_join",
+    f"""
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(month(l_shipdate) AS INTEGER) AS ship_month, COUNT(*) AS line_count, {sql_total('l_extendedprice')} AS gross
+    FROM lineitem SEMI JOIN (
+      SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, COUNT(*) AS n, MAX(COUNT(*)) OVER () AS most FROM orders GROUP BY 1, 2) ON n = most AND year(l_shipdate) = y AND month(l_shipdate) = m
+    GROUP BY 1, 2
+    """,
+)
+def i19_by_join(t):
+    """Lines shipped in the months with the most orders: which folders are read is found out by the join itself."""
+    months = t.orders.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg(F.count("*").alias("n"))
+    busiest = months.where(F.col("n") >= months.agg(F.max("n")).scalar())
+    lines = t.spark.read.parquet(write_lines_by_month(t, "i19join"))
+    return pruned_by(lines, busiest, {"ship_year": "y", "ship_month": "m"}).groupBy("ship_year", "ship_month").agg(
+        F.count("*").alias("line_count"), numbers.total("l_extendedprice").alias("gross")
+    )
+
+
 @query(
     "i20_layout",
     """

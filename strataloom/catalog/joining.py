@@ -9,6 +9,8 @@ from strataloom.catalog.registry import SQL_NET, SQL_REVENUE, query, sql_total
 from strataloom.functions import numbers, text
 from strataloom.operators import joins
 from strataloom.plans.scd import scd2_from_snapshots
+from strataloom.session import new_dir
+from strataloom.sources import sinks
 
 def revenue():
     return numbers.net_price("l_extendedprice", "l_discount")
@@ -237,6 +239,35 @@ def j12(t):
     )
 
 
+BUCKETS = 16
+
+
+def bucketed_lines(t):
+    """Lines and orders as tables with equal buckets of the order key."""
+    location = new_dir(t.spark, "bucketed")
+    layer = sinks.use_layer(t.spark, location.rsplit("/", 1)[1].replace("-", "_"), location)
+    lines = t.lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_discount")
+    return (
+        sinks.save_bucketed(lines, f"{layer}.lines", "l_orderkey", BUCKETS),
+        sinks.save_bucketed(t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate"), f"{layer}.orders", "o_orderkey", BUCKETS),
+    )
+
+
+@query(
+    "j13_bucketed",
+    f"""
+    SELECT o_orderkey, o_orderstatus, COUNT(*) AS line_count, COUNT(*) FILTER (l_shipdate < o_orderdate) AS early_lines, {SQL_REVENUE} AS revenue
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
+    """,
+)
+def j13_bucketed(t):
+    """Join and grouping on the key of the buckets: neither side is shuffled."""
+    lines, orders = bucketed_lines(t)
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey", "o_orderstatus").agg(
+        F.count("*").alias("line_count"), F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("early_lines"), numbers.total(revenue(), 4).alias("revenue")
+    )
+
+
 @query(
     "j13_wide_join",
     f"""

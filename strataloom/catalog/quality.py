@@ -1,23 +1,19 @@
-"""Data quality over lineitem read as raw orders, checked against versioned dimensions.
-
-The raw orders carry the defects that a source can have: blank order and store
-ids, missing and unknown products, zero quantities, repeated order ids, dates
-without a valid version and prices away from the price list. All defects follow
-from values of the rows themselves.
-"""
+"""Data quality: assertions over the tables, rules over order lines with one checked table behind five results, profiles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataloom.catalog.registry import query, sql_round
-from strataloom.functions import numbers, text
+from strataloom.catalog.registry import SQL_NET, query, sql_round
+from strataloom.functions import numbers
 from strataloom.operators import aggregates as agg
 from strataloom.operators.joins import asof_join, orphans
 from strataloom.plans import quality as q
+from strataloom.plans import sketches
 from strataloom.plans.scd import overlaps, scd2_from_snapshots
-from strataloom.session import cut_lineage, new_dir
+from strataloom.session import new_dir
 from strataloom.sources import sinks
+from strataloom.sources.files import input_state
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -69,19 +65,17 @@ def q07(t):
     return t.pages.select("page_id", "url").where(~F.col("url").rlike("^https://[a-z.]+/"))
 
 
-# Raw orders and their dimensions -------------------------------------------
+# Order lines against their orders, parts and price lists ---------------------
+
+# Limits of the rules.
+TOTAL_FACTOR = 4  # lines of an order against its total
+DISCOUNT_CAP = "0.09"
+TAX_CAP = "0.07"
+EARLY_DAYS = 1500  # days that a line may leave before its order is written
+PIECE_FACTOR = 15  # price of one piece against the part's list price
+JUMP_FACTOR = 3  # price of a line against the dearest line of the month listed before
 
-SQL_RAW = """
-    raw AS (
-      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-             CASE WHEN l_tax = 0.08 AND l_quantity = 1 THEN '  ' ELSE 'O-' || l_orderkey || '-' || l_linenumber END AS order_id,
-             CAST(l_shipdate AS DATE) AS order_date,
-             CASE WHEN l_discount = 0.1 AND l_quantity = 2 THEN '' ELSE CAST(l_suppkey AS VARCHAR) END AS store_id,
-             CASE WHEN l_quantity = 3 AND l_linestatus = 'O' THEN NULL WHEN l_quantity = 4 THEN 'P-999' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
-             CASE WHEN l_quantity = 50 THEN 0 WHEN l_quantity = 49 AND l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS quantity,
-             CASE WHEN l_tax = 0.07 AND l_quantity = 10 THEN 999999.99 WHEN l_tax = 0.07 AND l_quantity = 11 THEN NULL
-                  ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS unit_price
-      FROM lineitem),
+SQL_VERSIONS = """
     product_snapshots AS (
       SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_month,
              MAX(CAST(l_extendedprice AS DECIMAL(18,2))) AS base_price
@@ -89,51 +83,42 @@ SQL_RAW = """
     products AS (
       SELECT product_id, base_price, snapshot_month AS valid_from,
              COALESCE(CAST(LEAD(snapshot_month) OVER (PARTITION BY product_id ORDER BY snapshot_month) - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to
-      FROM product_snapshots),
-    store_snapshots AS (
-      SELECT CAST(l_suppkey AS VARCHAR) AS store_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_month, COUNT(*) AS offer_count
-      FROM lineitem WHERE l_discount = 0.04 GROUP BY ALL),
-    stores AS (
-      SELECT store_id, offer_count, snapshot_month AS valid_from,
-             COALESCE(CAST(LEAD(snapshot_month) OVER (PARTITION BY store_id ORDER BY snapshot_month) - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to
-      FROM store_snapshots),
-    base AS (
-      SELECT r.*, NULLIF(TRIM(r.order_id), '') AS clean_order, NULLIF(TRIM(r.store_id), '') AS clean_store, NULLIF(TRIM(r.product_id), '') AS clean_product FROM raw r),
+      FROM product_snapshots)
+"""
+SQL_LINES = f"""
+    {SQL_VERSIONS},
+    order_lines AS (SELECT l_orderkey AS of_order, SUM({SQL_NET}) AS lines_net FROM lineitem GROUP BY 1),
+    booked AS (SELECT l_orderkey AS k, l_linenumber AS n, l_returnflag AS f, l_linestatus AS s FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1),
     matched AS (
-      SELECT b.*, p.base_price, p.valid_from AS product_from, s.offer_count, s.valid_from AS store_from
-      FROM base b LEFT JOIN products p ON clean_product = p.product_id AND order_date BETWEEN p.valid_from AND p.valid_to
-      LEFT JOIN stores s ON clean_store = s.store_id AND order_date BETWEEN s.valid_from AND s.valid_to),
-    repeated AS (SELECT clean_order AS repeated_order FROM base WHERE clean_order IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)
+      SELECT l.* REPLACE (CAST(l_discount AS DECIMAL(6,2)) AS l_discount, CAST(l_tax AS DECIMAL(6,2)) AS l_tax, CAST(l_extendedprice AS DECIMAL(18,2)) AS l_extendedprice),
+             CAST(l_shipdate AS DATE) AS ship_date, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS order_total, lines_net,
+             CAST(p_retailprice AS DECIMAL(18,2)) AS list_price, base_price, valid_from AS product_from, k IS NOT NULL AS is_repeated
+      FROM lineitem l JOIN orders ON l_orderkey = o_orderkey JOIN order_lines ON l_orderkey = of_order JOIN part ON l_partkey = p_partkey
+      LEFT JOIN booked ON l_orderkey = k AND l_linenumber = n AND l_returnflag = f AND l_linestatus = s
+      LEFT JOIN products ON CAST(l_partkey AS VARCHAR) = product_id AND CAST(l_shipdate AS DATE) BETWEEN valid_from AND valid_to)
 """
-
-# How far a line's price may lie from the list, in money.
-PRICE_TOLERANCE = 2
-
 _RULE_SQL = {
-    "blank_label": ("clean_order IS NULL", "COALESCE(order_id, '<NULL>')"),
-    "label_reused": ("clean_order IN (SELECT repeated_order FROM repeated)", "order_id"),
-    "no_supplier": ("clean_store IS NULL", "COALESCE(store_id, '<NULL>')"),
-    "no_part": ("clean_product IS NULL", "COALESCE(product_id, '<NULL>')"),
-    "nothing_shipped": ("quantity IS NULL OR quantity <= 0", "COALESCE(CAST(quantity AS VARCHAR), '<NULL>')"),
-    "supplier_not_offering": ("clean_store IS NOT NULL AND store_from IS NULL", "store_id"),
-    "part_not_listed": ("clean_product IS NOT NULL AND product_from IS NULL", "product_id"),
-    "price_off_list": (
-        f"product_from IS NOT NULL AND (unit_price IS NULL OR abs(unit_price - base_price) > {PRICE_TOLERANCE})",
-        "COALESCE(CAST(unit_price AS VARCHAR), '<NULL>')",
-    ),
+    "total_below_lines": (f"lines_net > {TOTAL_FACTOR} * order_total", "CAST(lines_net AS VARCHAR)"),
+    "open_in_finished_order": ("o_orderstatus = 'F' AND l_linestatus = 'O' AND l_returnflag = 'R'", "l_linestatus"),
+    "booked_twice": ("is_repeated", "CAST(l_linenumber AS VARCHAR)"),
+    "left_long_before_order": (f"date_diff('day', ship_date, order_date) > {EARLY_DAYS}", "CAST(ship_date AS VARCHAR)"),
+    "discount_over_cap": (f"l_discount > {DISCOUNT_CAP}", "CAST(l_discount AS VARCHAR)"),
+    "tax_over_cap": (f"l_tax > {TAX_CAP}", "CAST(l_tax AS VARCHAR)"),
+    "dear_piece": (f"l_extendedprice > {PIECE_FACTOR} * l_quantity * list_price", "CAST(l_extendedprice AS VARCHAR)"),
+    "price_jump": (f"l_extendedprice > {JUMP_FACTOR} * base_price", "CAST(l_extendedprice AS VARCHAR)"),
 }
 MESSAGES = {
-    "blank_label": "The line bears no label.",
-    "label_reused": "Another line bears the same label.",
-    "no_supplier": "The line names no supplier.",
-    "no_part": "The line names no part.",
-    "nothing_shipped": "The line ships nothing.",
-    "supplier_not_offering": "On the ship date the supplier offers nothing.",
-    "part_not_listed": "The part is on no list of the ship date.",
-    "price_off_list": "The price is off the list by more than the tolerance.",
+    "total_below_lines": "The order total is far below the sum of its lines.",
+    "open_in_finished_order": "A returned line is open although its order is finished.",
+    "booked_twice": "The order holds this line number again in the same state.",
+    "left_long_before_order": "The line left long before its order was written.",
+    "discount_over_cap": "The discount is above what may be granted.",
+    "tax_over_cap": "The tax is above the highest rate.",
+    "dear_piece": "One piece costs many times the list price of the part.",
+    "price_jump": "The line costs several times the dearest line listed last.",
 }
 SQL_VIOLATIONS = "\nUNION ALL\n".join(
-    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, order_date, '{name}' AS rule_name, '{MESSAGES[name]}' AS issue_message, {value} AS failed_value FROM matched WHERE {test}"
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_date, '{name}' AS rule_name, '{MESSAGES[name]}' AS issue_message, {value} AS failed_value FROM matched WHERE {test}"
     for name, (test, value) in _RULE_SQL.items()
 )
 SQL_ANY_BAD = " OR ".join(f"COALESCE({test}, FALSE)" for test, _ in _RULE_SQL.values())
@@ -142,29 +127,7 @@ SQL_RULE_NAMES = (
     + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, (test, _) in _RULE_SQL.items())
     + "], lambda x: x IS NOT NULL)), ', ')"
 )
-ROW_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "order_date"]
-
-
-def raw_orders(t):
-    quantity, tax = F.col("l_quantity"), F.col("l_tax")
-    return t.lineitem.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.when((tax == 0.08) & (quantity == 1), "  ").otherwise(F.concat(F.lit("O-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))).alias("order_id"),
-        F.to_date("l_shipdate").alias("order_date"),
-        F.when((F.col("l_discount") == 0.1) & (quantity == 2), "").otherwise(F.col("l_suppkey").cast("string")).alias("store_id"),
-        F.when((quantity == 3) & (F.col("l_linestatus") == "O"), None)
-        .when(quantity == 4, "P-999")
-        .otherwise(F.col("l_partkey").cast("string"))
-        .alias("product_id"),
-        F.when(quantity == 50, 0).when((quantity == 49) & (F.col("l_returnflag") == "R"), None).otherwise(quantity.cast("int")).alias("quantity"),
-        F.when((tax == 0.07) & (quantity == 10), F.lit("999999.99").cast(numbers.MONEY))
-        .when((tax == 0.07) & (quantity == 11), None)
-        .otherwise(numbers.money("l_extendedprice"))
-        .alias("unit_price"),
-    )
+ROW_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_date"]
 
 
 def product_versions(t):
@@ -176,103 +139,109 @@ def product_versions(t):
     return scd2_from_snapshots(snapshots, "product", "month", ["base_price"], "product_version_key").drop("is_current")
 
 
-def store_versions(t):
-    snapshots = (
-        t.lineitem.where("l_discount = 0.04")
-        .groupBy(F.col("l_suppkey").cast("string").alias("store"), F.trunc("l_shipdate", "MM").alias("month"))
-        .agg(F.count("*").alias("offer_count"))
+def checked_lines(t):
+    """Order lines with order, part, price list and the flags of failed rules; and the rules."""
+    net = t.lineitem.groupBy(F.col("l_orderkey").alias("of_order")).agg(numbers.exact_sum(numbers.net_price("l_extendedprice", "l_discount"), 4).cast("decimal(38,4)").alias("lines_net"))
+    orders = t.orders.join(net, F.col("o_orderkey") == F.col("of_order")).select(
+        "o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"), numbers.money("o_totalprice").alias("order_total"), "lines_net"
     )
-    return scd2_from_snapshots(snapshots, "store", "month", ["offer_count"], "store_version_key").drop("is_current")
-
-
-def _ranges(versions, prefix):
-    return versions.withColumnsRenamed({"valid_from": f"{prefix}_from", "valid_to": f"{prefix}_to"})
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("ship_date"),
+        numbers.money("l_extendedprice").alias("l_extendedprice"), F.col("l_discount").cast("decimal(6,2)").alias("l_discount"), F.col("l_tax").cast("decimal(6,2)").alias("l_tax"),
+    )
+    lines = q.mark_duplicates(lines, F.struct("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"), "is_repeated")
+    base = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    base = base.join(t.part.select("p_partkey", numbers.money("p_retailprice").alias("list_price")), F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    first, last = t.lineitem.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    listed = product_versions(t).withColumnsRenamed({"valid_from": "product_from", "valid_to": "product_to"})
+    base = asof_join(base, listed, F.col("l_partkey").cast("string"), "ship_date", "product", "product_from", "product_to", "left", span=(first.date(), last.date()) if first else None)
+
+    price, day = F.col("l_extendedprice"), F.date_diff("order_date", "ship_date")
+    tests = {
+        "total_below_lines": (F.col("lines_net") > TOTAL_FACTOR * F.col("order_total"), "lines_net"),
+        "open_in_finished_order": ((F.col("o_orderstatus") == "F") & (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"), "l_linestatus"),
+        "booked_twice": (F.col("is_repeated"), "l_linenumber"),
+        "left_long_before_order": (day > EARLY_DAYS, "ship_date"),
+        "discount_over_cap": (F.col("l_discount") > F.lit(DISCOUNT_CAP).cast("decimal(6,2)"), "l_discount"),
+        "tax_over_cap": (F.col("l_tax") > F.lit(TAX_CAP).cast("decimal(6,2)"), "l_tax"),
+        "dear_piece": (price > F.col("l_quantity").cast("decimal(10,0)") * F.col("list_price") * PIECE_FACTOR, "l_extendedprice"),
+        "price_jump": (price > F.col("base_price") * JUMP_FACTOR, "l_extendedprice"),
+    }
+    rules = [q.Rule(name, fails, MESSAGES[name], F.col(shown).cast("string")) for name, (fails, shown) in tests.items()]
+    return q.apply_rules(base.drop("product"), rules), rules
 
 
-def checked_orders(t):
-    """Raw orders with their versions and the flags of failed rules, in one pass; and the rules."""
-    # Only raw columns cross the shuffles; what follows from them is worked out behind the last join.
-    clean = {name: text.blank_to_null(c) for name, c in (("clean_order", "order_id"), ("clean_store", "store_id"), ("clean_product", "product_id"))}
-    base = q.mark_duplicates(raw_orders(t), clean["clean_order"], "is_repeated")
-    base = asof_join(base, _ranges(product_versions(t), "product"), clean["clean_product"], "order_date", "product", "product_from", "product_to", "left")
-    base = asof_join(base, _ranges(store_versions(t), "store"), clean["clean_store"], "order_date", "store", "store_from", "store_to", "left").withColumns(clean)
+#: Where the checked lines of a state of the input files lie, by application.
+_staged: dict[tuple, str] = {}
 
-    def shown(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit("<NULL>"))
 
-    price, listed = F.col("unit_price"), F.col("base_price")
-    tests = {
-        "blank_label": (F.col("clean_order").isNull(), shown("order_id")),
-        "label_reused": (F.col("is_repeated"), F.col("order_id")),
-        "no_supplier": (F.col("clean_store").isNull(), shown("store_id")),
-        "no_part": (F.col("clean_product").isNull(), shown("product_id")),
-        "nothing_shipped": (F.col("quantity").isNull() | (F.col("quantity") <= 0), shown("quantity")),
-        "supplier_not_offering": (F.col("clean_store").isNotNull() & F.col("store_version_key").isNull(), F.col("store_id")),
-        "part_not_listed": (F.col("clean_product").isNotNull() & F.col("product_version_key").isNull(), F.col("product_id")),
-        "price_off_list": (
-            F.col("product_version_key").isNotNull() & (price.isNull() | (F.abs(price - listed) > PRICE_TOLERANCE)),
-            shown("unit_price"),
-        ),
-    }
-    rules = [q.Rule(n, test, MESSAGES[n], value) for n, (test, value) in tests.items()]
-    return q.apply_rules(base, rules), rules
+def staged_lines(t, fresh: bool = False):
+    """Checked lines from the table that a run over the same files has written; written now if there is none, or if `fresh`."""
+    state = (t.spark.sparkContext.applicationId, input_state(t.lineitem), input_state(t.orders), input_state(t.part))
+    checked, rules = checked_lines(t)
+    if fresh or state not in _staged:
+        path = new_dir(t.spark, "checked")
+        staged = q.stage_checked(checked, path)
+        _staged[state] = path
+        return staged, rules
+    return t.spark.read.schema(checked.schema).parquet(_staged[state]), rules
 
 
-@query("q08_violations", f"WITH {SQL_RAW} {SQL_VIOLATIONS}")
+@query("q08_violations", f"WITH {SQL_LINES} {SQL_VIOLATIONS}")
 def q08(t):
-    return q.violations(*checked_orders(t), ROW_COLUMNS)
+    """The run that checks: its table is written anew and serves the queries after it."""
+    return q.violations(*staged_lines(t, fresh=True), ROW_COLUMNS)
 
 
-@query("q09_issue_summary", f"WITH {SQL_RAW} SELECT rule_name, COUNT(*) AS failed_rows FROM ({SQL_VIOLATIONS}) GROUP BY 1")
+@query("q09_issue_summary", f"WITH {SQL_LINES} SELECT rule_name, COUNT(*) AS failed_rows FROM ({SQL_VIOLATIONS}) GROUP BY 1")
 def q09(t):
-    return q.issue_summary(*checked_orders(t))
+    return q.issue_summary(*staged_lines(t))
 
 
 @query(
     "q10_clean",
     f"""
-    WITH {SQL_RAW}
-    SELECT l_orderkey, l_linenumber, clean_order AS order_id, order_date, clean_store || ':' || CAST(store_from AS VARCHAR) AS store_version_key,
-           clean_product || ':' || CAST(product_from AS VARCHAR) AS product_version_key, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-           CAST(ROUND(quantity * unit_price, 2) AS DOUBLE) AS line_amount
+    WITH {SQL_LINES}
+    SELECT l_orderkey, l_linenumber, order_date, ship_date, l_partkey || ':' || CAST(product_from AS VARCHAR) AS product_version_key, l_quantity,
+           CAST(l_extendedprice AS DOUBLE) AS l_extendedprice, CAST(l_extendedprice - l_quantity * list_price AS DOUBLE) AS above_list
     FROM matched WHERE NOT ({SQL_ANY_BAD})
-    """,
+    """.replace("l_quantity * list_price", "CAST(l_quantity AS DECIMAL(10,0)) * list_price"),
 )
 def q10(t):
-    return q.clean_rows(checked_orders(t)[0]).select(
-        "l_orderkey", "l_linenumber", F.col("clean_order").alias("order_id"), "order_date", "store_version_key", "product_version_key", "quantity",
-        F.col("unit_price").cast("double").alias("unit_price"),
-        F.round(F.col("quantity") * F.col("unit_price"), 2).cast("double").alias("line_amount"),
-    )
+    above = F.col("l_extendedprice") - F.col("l_quantity").cast("decimal(10,0)") * F.col("list_price")
+    return q.clean_rows(staged_lines(t)[0]).select(
+        "l_orderkey", "l_linenumber", "order_date", "ship_date", "product_version_key", "l_quantity", F.col("l_extendedprice").cast("double").alias("l_extendedprice"),
+        above.cast("double").alias("above_list"),
+    )
 
 
 @query(
     "q11_quarantine",
     f"""
-    WITH {SQL_RAW}
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, order_date, {SQL_RULE_NAMES} AS failed_rules FROM matched WHERE {SQL_ANY_BAD}
+    WITH {SQL_LINES}
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_date, {SQL_RULE_NAMES} AS failed_rules FROM matched WHERE {SQL_ANY_BAD}
     """,
 )
 def q11(t):
-    return q.quarantine(*checked_orders(t), ROW_COLUMNS)
+    return q.quarantine(*staged_lines(t), ROW_COLUMNS)
 
 
 @query(
     "q12_overview",
     f"""
-    WITH {SQL_RAW}, v AS ({SQL_VIOLATIONS})
+    WITH {SQL_LINES}, v AS ({SQL_VIOLATIONS})
     SELECT raw_rows, clean_rows, rejected_rows, (SELECT COUNT(*) FROM v) AS rule_failures, {sql_round('100.0::DOUBLE * rejected_rows / NULLIF(raw_rows, 0)', 2)} AS rejected_pct
     FROM (SELECT COUNT(*) AS raw_rows, COUNT(*) FILTER (NOT ({SQL_ANY_BAD})) AS clean_rows, COUNT(*) FILTER ({SQL_ANY_BAD}) AS rejected_rows FROM matched)
     """,
 )
 def q12(t):
-    return q.overview(checked_orders(t)[0])
+    return q.overview(staged_lines(t)[0])
 
 
 @query(
     "q13_no_overlap",
     f"""
-    WITH {SQL_RAW}, stretched AS (
+    WITH {SQL_VERSIONS}, stretched AS (
       SELECT product_id AS product, valid_from, CASE WHEN base_price > 100000 AND valid_to < DATE '9999-12-31' THEN CAST(valid_to + 1 AS DATE) ELSE valid_to END AS valid_to FROM products)
     SELECT * FROM (SELECT product, valid_from, valid_to, LEAD(valid_from) OVER (PARTITION BY product ORDER BY valid_from, valid_to) AS next_valid_from FROM stretched)
     WHERE valid_to >= next_valid_from
@@ -288,15 +257,14 @@ def q13(t):
 @query(
     "q14_clean_proof",
     f"""
-    WITH {SQL_RAW}, v AS ({SQL_VIOLATIONS}), c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, order_date FROM matched WHERE NOT ({SQL_ANY_BAD}))
-    SELECT (SELECT COUNT(*) FROM c SEMI JOIN v USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, order_date)) AS bad_rows_in_clean,
-           (SELECT COUNT(*) FROM c) AS clean_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, order_date FROM v)) AS bad_keys
+    WITH {SQL_LINES}, v AS ({SQL_VIOLATIONS}), c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_date FROM matched WHERE NOT ({SQL_ANY_BAD}))
+    SELECT (SELECT COUNT(*) FROM c SEMI JOIN v USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_date)) AS bad_rows_in_clean,
+           (SELECT COUNT(*) FROM c) AS clean_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_date FROM v)) AS bad_keys
     """,
 )
 def q14(t):
     """Written clean rows against written violations, both read again."""
-    checked, rules = checked_orders(t)
-    checked = cut_lineage(checked)
+    checked, rules = staged_lines(t)
     clean, bad = (sinks.full_refresh(df, new_dir(t.spark, name)) for df, name in ((q.clean_rows(checked).select(*ROW_COLUMNS), "q14clean"), (q.violations(checked, rules, ROW_COLUMNS), "q14bad")))
     shared = clean.join(bad.select(*ROW_COLUMNS).distinct(), ROW_COLUMNS, "left_semi")
     count = F.count("*")
@@ -327,6 +295,38 @@ def q15(t):
     return q.profile(t.customer.withColumn("c_mktsegment", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))))
 
 
+SQL_SKETCHED = " UNION ALL ".join(
+    f"""
+    SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT({c}) AS value_count, {whole.format('MIN')} AS min_exact, {whole.format('MAX')} AS max_exact,
+           {mean} AS mean_exact, {number.format('MIN')} AS min_number, {number.format('MAX')} AS max_number, {time.format('MIN')} AS min_time, {time.format('MAX')} AS max_time,
+           TRUE AS distinct_is_close, {ranked} AS median_is_close
+    FROM orders"""
+    for c, whole, number, time, mean, ranked in (
+        ("o_orderkey", "{}(o_orderkey)", "CAST({}(o_orderkey) AS DOUBLE)", "CAST(NULL AS TIMESTAMP)", sql_round("CAST(SUM(o_orderkey) AS DOUBLE) / COUNT(*)", 4), "TRUE"),
+        ("o_totalprice", "CAST(NULL AS BIGINT)", "{}(o_totalprice)", "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS DOUBLE)", "TRUE"),
+        ("o_orderdate", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "{}(o_orderdate)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BOOLEAN)"),
+        ("o_orderpriority", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BOOLEAN)"),
+    )
+)
+
+
+@query("q15_merged_profile", SQL_SKETCHED)
+def q15_merged(t):
+    """Profiles of every order month, stored, then merged; sketches are held against the exact counts."""
+    names = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    stored = sinks.full_refresh(sketches.profile_parts(t.orders.withColumn("month", F.trunc("o_orderdate", "MM")), ["month"], names), new_dir(t.spark, "q15parts"))
+    merged = sketches.read_profile(sketches.merge_parts(stored))
+    medians = merged.where("q50 IS NOT NULL").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "q50")))).scalar()
+    exact = t.orders.agg(
+        F.array(*[F.struct(F.lit(c).alias("name"), F.count_distinct(c).alias("n"), (F.count_if(F.col(c) <= medians[c]) / F.count(c) if c in names[:2] else F.lit(None).cast("double")).alias("below")) for c in names]).alias("of")
+    ).select(F.inline("of"))
+    return merged.join(exact, F.col("column_name") == F.col("name")).select(
+        "column_name", "row_count", "value_count", F.col("min_exact").cast("bigint").alias("min_exact"), F.col("max_exact").cast("bigint").alias("max_exact"), "mean_exact",
+        "min_number", "max_number", F.col("min_time").cast("timestamp_ntz").alias("min_time"), F.col("max_time").cast("timestamp_ntz").alias("max_time"),
+        (F.abs(F.col("distinct_about") - F.col("n")) <= F.col("n") * 0.04).alias("distinct_is_close"), F.col("below").between(0.48, 0.52).alias("median_is_close"),
+    )
+
+
 @query(
     "q16_layer_delta",
     """

@@ -10,6 +10,7 @@ from strataloom.functions.numbers import mean, total
 from strataloom.operators.aggregates import union_all
 from strataloom.session import new_dir
 from strataloom.sources import files, sinks
+from strataloom.sources.versioned import DayTable
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -205,11 +206,12 @@ def k04(t):
 def k05(t):
     path = new_dir(t.spark, "k05")
     rows = t.events.select("event_id", "value", F.to_date("ts").alias("day"))
-    sinks.replace_partitions(rows, path, ["day"])
-    last_day = rows.where(F.col("day") == rows.agg(F.max("day")).scalar())
-    corrected = last_day.withColumn("value", F.round((F.col("value") * 2).cast("decimal(28,8)"), 2).cast("double"))
-    sinks.replace_partitions(corrected, path, ["day"])
-    return t.spark.read.parquet(path).select("event_id", "value", F.col("day").cast("date").alias("day"))
+    table = DayTable(t.spark, path, "day", rows.schema)
+    table.replace(rows)
+    last = rows.agg(F.max("day")).first()[0]
+    corrected = table.read([last]).withColumn("value", F.round((F.col("value") * 2).cast("decimal(28,8)"), 2).cast("double"))
+    table.replace(corrected, [last])
+    return table.read()
 
 
 @query("k06_insert_select", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")

@@ -4,6 +4,7 @@ split hot keys of shuffled joins."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -69,6 +70,22 @@ def _distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(text.isNotNull()).select(normalized_key(text).alias("key_value")).distinct()
 
 
+def pruned_by(fact: DataFrame, wanted: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Rows of `fact` whose keys (fact column: wanted column) occur in `wanted`.
+
+    On folder columns of a partitioned table Spark evaluates `wanted` first and
+    reads only the folders it names (dynamic partition pruning; by the side that
+    is broadcast, or, in sessions of `build_session`, by a query of its own). On
+    other columns of a large shuffled fact it filters rows by a bloom filter
+    before the shuffle (`spark.sql.optimizer.runtime.bloomFilter`). `wanted` must
+    be filtered, or Spark sees no gain in either. Keys that `wanted` holds more
+    than once are shuffled as often but give no further rows.
+    """
+    few = wanted.select(*[F.col(w).alias(f"_wanted_{f}") for f, w in keys.items()])
+    same = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"_wanted_{f}") for f in keys])
+    return fact.join(few, same, "left_semi")
+
+
 def match_count(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Number of rows an inner join would give, without building its rows.
 
@@ -114,6 +131,7 @@ def asof_join(
     valid_to: str = "valid_to",
     how: str = "inner",
     grain: str = "year",
+    span: tuple[dt.date | Column, dt.date | Column] | None = None,
 ) -> DataFrame:
     """Pair each fact with the version of its key that was valid on its date, both ends included.
 
@@ -124,13 +142,20 @@ def asof_join(
     row per year of its key, so the spread side stays about as large as the
     versions. It remains an equi join: broadcast if the versions are small by
     Catalyst's own estimate, shuffled otherwise.
+
+    `span` gives the first and last date of the fact where they are known or
+    cheaper to find than by another evaluation of the fact. Dates outside it
+    find no version.
     """
     if grain not in ("year", "month"):
         raise ValueError(f"unknown grain {grain!r}")
     unit = "YEAR" if grain == "year" else "MM"
-    span = fact.agg(F.struct(F.trunc(F.min(at), unit).alias("lo"), F.max(at).alias("hi"))).scalar()
-    lo = F.greatest(F.col(valid_from), span["lo"])
-    hi = F.least(F.col(valid_to), span["hi"])
+    if span is None:
+        found = fact.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi"))).scalar()
+        span = found["lo"], found["hi"]
+    first, last = (d if isinstance(d, Column) else F.lit(d) for d in span)
+    lo = F.greatest(F.col(valid_from), F.trunc(first, unit))
+    hi = F.least(F.col(valid_to), last)
     periods = F.sequence(F.trunc(lo, unit), F.trunc(hi, unit), F.expr(f"interval 1 {grain}"))
     spread = versions.where(lo <= hi).withColumn("_period", F.explode(periods))
     on = (

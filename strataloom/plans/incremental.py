@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.dates import days
 from strataloom.operators.windows import first_per_key
+from strataloom.sources.versioned import DayTable, replace_days
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,19 +134,18 @@ def check_date_range(start: dt.date, end: dt.date, first: dt.date, last: dt.date
         raise ValueError(f"{start}..{end} is outside the source range {first}..{last}")
 
 
-def backfill(build: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> str:
-    """Rebuild the days of a range in one job; running it again gives the same table.
+def backfill(build: DataFrame, table: DayTable, start: dt.date, end: dt.date) -> int:
+    """Rebuild the days of a range in one step; running it again gives the same table.
 
     Days of the range without rows end empty. A range that reaches outside the
-    days of the source is refused, and so is a source without rows.
+    days of the source is refused, and so is a source without rows. Readers see
+    the days as they were until all of them are written.
     """
-    from strataloom.sources.sinks import replace_days
-
-    span = build.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    span = build.agg(F.min(table.day).alias("first"), F.max(table.day).alias("last")).first()
     if span["first"] is None:
         raise ValueError("the source has no rows, so there is nothing to rebuild from")
     check_date_range(start, end, span["first"], span["last"])
-    return replace_days(build, path, day, start, end)
+    return replace_days(table, build, start, end)
 
 
 def append_run(spark: SparkSession, path: str, run_id: str, step: str, logical_date: dt.date, attempt: int, status: str, rows: int, started: dt.datetime, message: str = "") -> None:

@@ -60,13 +60,24 @@ def mark_duplicates(df: DataFrame, key: str | Column, flag: str) -> DataFrame:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Test all rules in one pass: `failed` holds a flag per rule, `issue_count` their number.
+    """Test all rules in one pass: `failed` holds a flag per rule, `issue_count` their number, `rejected` whether any fails.
 
     Only flags are kept per row. Texts are made later and for failing rows alone.
     """
     flags = [F.coalesce(r.fails, F.lit(False)).alias(r.name) for r in rules]
     flagged = df.withColumn("failed", F.struct(*flags))
-    return flagged.withColumn("issue_count", sum((F.col("failed")[r.name].cast("int") for r in rules), F.lit(0)))
+    count = sum((F.col("failed")[r.name].cast("int") for r in rules), F.lit(0))
+    return flagged.withColumn("issue_count", count).withColumn("rejected", F.col("issue_count") > 0)
+
+
+def stage_checked(checked: DataFrame, path: str) -> DataFrame:
+    """Write checked rows once, clean and rejected ones in folders of their own, and read them again.
+
+    Violations, summary, clean rows, quarantine and overview then cost a scan of
+    the folder and the columns they need, and agree with one another.
+    """
+    checked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    return checked.sparkSession.read.schema(checked.schema).parquet(path)
 
 
 def violations(checked: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
@@ -80,34 +91,33 @@ def violations(checked: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -
         )
         for r in rules
     ]
-    rows = checked.where(F.col("issue_count") > 0).select(*keep, F.inline(F.array(*issues)))
+    rows = checked.where("rejected").select(*keep, F.inline(F.array(*issues)))
     return rows.where("_hit").drop("_hit")
 
 
 def issue_summary(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Failing rows per rule, counted from the flags; rules that never fail are left out."""
-    counts = checked.agg(*[F.count_if(F.col("failed")[r.name]).alias(r.name) for r in rules])
+    counts = checked.where("rejected").agg(*[F.count_if(F.col("failed")[r.name]).alias(r.name) for r in rules])
     pairs = F.array(*[F.struct(F.lit(r.name).alias("rule_name"), F.col(r.name).alias("failed_rows")) for r in rules])
     return counts.select(F.inline(pairs)).where("failed_rows > 0")
 
 
 def clean_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("issue_count") == 0).drop("failed", "issue_count")
+    return checked.where("NOT rejected").drop("failed", "issue_count", "rejected")
 
 
 def quarantine(checked: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
     """Rejected rows with the ordered list of the rules they break."""
     names = [F.when(F.col("failed")[n], n) for n in sorted(r.name for r in rules)]
-    return checked.where(F.col("issue_count") > 0).select(*keep, F.array_join(F.array(*names), ", ").alias("failed_rules"))
+    return checked.where("rejected").select(*keep, F.array_join(F.array(*names), ", ").alias("failed_rules"))
 
 
 def overview(checked: DataFrame) -> DataFrame:
     """Raw, clean and rejected rows, rule failures and reject percent, from one pass."""
-    bad = F.col("issue_count") > 0
     counts = checked.agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(~bad).alias("clean_rows"),
-        F.count_if(bad).alias("rejected_rows"),
+        F.count_if(~F.col("rejected")).alias("clean_rows"),
+        F.count_if(F.col("rejected")).alias("rejected_rows"),
         F.coalesce(F.sum("issue_count"), F.lit(0)).cast("bigint").alias("rule_failures"),
     )
     return counts.withColumn("rejected_pct", percent("rejected_rows", "raw_rows", 2))

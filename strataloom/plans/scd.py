@@ -30,6 +30,44 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, at: str, attrs: Sequence
     )
 
 
+def scd2_add_snapshots(dim: DataFrame, snapshots: DataFrame, key: str, at: str, attrs: Sequence[str], version_key: str = "version_key") -> DataFrame:
+    """Merge snapshots of any dates, late ones included, into versions of `scd2_from_snapshots`.
+
+    A late snapshot splits the interval it falls into: the version there ends
+    the day before, and the new one lasts to the next version of its key. One
+    dated before the first version is put in front, one dated at the start of a
+    version replaces its attributes (of several for one date, the greatest), so
+    a repeated merge changes nothing. Snapshots may come in any order and
+    grouping; the result is what all of them give at once. Keys of `dim` that
+    the snapshots do not name are passed on unchanged, and only the versions of
+    named keys are ordered anew.
+    """
+    named = snapshots.select(F.col(key).alias("_named")).distinct()
+    same = dim[key].eqNullSafe(named["_named"])
+    touched = dim.join(named, same, "left_semi").select(key, F.col("valid_from").alias(at), *attrs, F.lit(0).alias("_late"))
+    points = touched.unionByName(snapshots.select(key, at, *attrs, F.lit(1).alias("_late")))
+    one = points.groupBy(key, at).agg(F.max(F.struct("_late", *attrs)).alias("_it")).select(key, at, *[F.col("_it")[a].alias(a) for a in attrs])
+    rebuilt = scd2_from_snapshots(one, key, at, attrs, version_key)
+    return dim.join(named, same, "left_anti").unionByName(rebuilt.select(dim.columns))
+
+
+def scd2_join_equal(dim: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """Join neighbouring versions of a key that agree in all tracked columns and leave no day between them.
+
+    Columns that are neither keys nor tracked take the value of the first
+    version of the run. NULL equals NULL.
+    """
+    order = Window.partitionBy(*keys).orderBy("valid_from")
+    content = F.struct(*tracked)
+    begins = ~(F.lag(content).over(order).eqNullSafe(content) & (F.date_add(F.lag("valid_to").over(order), 1) >= F.col("valid_from")))
+    runs = dim.withColumn("_begins", F.coalesce(begins, F.lit(True))).withColumn("_run", F.count_if("_begins").over(order))
+    rest = [c for c in dim.columns if c not in {*keys, "valid_to", "is_current"}]
+    joined = runs.groupBy(*keys, "_run").agg(
+        F.min_by(F.struct(*rest), "valid_from").alias("_first"), F.max("valid_to").alias("valid_to"), F.bool_or("is_current").alias("is_current")
+    )
+    return joined.select(*[F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in dim.columns])
+
+
 def scd2_initial(source: DataFrame, keys: Sequence[str], attrs: Sequence[str], valid_from: str) -> DataFrame:
     """First load: every row is current from a given day."""
     return source.select(

@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "strataloom", shuffle_pa
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Split hot join partitions even where that costs one more exchange.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Let a join decide which folders of a fact are read even if its other side is too large to broadcast.
+        .config("spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

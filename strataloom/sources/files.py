@@ -30,6 +30,18 @@ class Tables:
         return self._read[name]
 
 
+def input_state(df: DataFrame) -> tuple:
+    """Path, size and time of change of every file that a frame reads."""
+    hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in sorted(df.inputFiles()):
+        path = hadoop.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, sep: str = ",") -> DataFrame:
     """CSV with a header row. Without a schema the types are inferred by one extra scan.
 

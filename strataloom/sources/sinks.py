@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,26 +38,25 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> str:
     return path
 
 
-def replace_days(df: DataFrame, path: str, day: str, start: dt.date, end: dt.date) -> str:
-    """Delete the days of a range and insert those of `df`; a day without new rows ends empty.
-
-    The folders of the range are dropped first, at most one per day. A run that
-    fails between the two steps is mended by running it again.
-    """
-    root = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    for n in range((end - start).days + 1):
-        folder = f"{day}={start + dt.timedelta(days=n)}"
-        files.delete(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path, folder), True)
-    return replace_partitions(df.where(F.col(day).between(F.lit(start), F.lit(end))), path, [day])
-
-
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Managed table, replaced as a whole."""
     df.write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def save_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """Managed table dealt into a fixed number of buckets by a key, each sorted by it.
+
+    Tables with equal buckets meet on that key without a shuffle or a sort, so
+    the price of dealing the rows is paid once for all later joins and
+    groupings. Rows are dealt before the write, so a bucket is one file. A key
+    that holds a large part of the rows makes one large bucket, which nothing
+    splits later; such tables are better joined by shuffle, where AQE splits it.
+    """
+    df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def use_layer(spark: SparkSession, name: str, location: str) -> str:
     """Database that stands for one layer (staging, intermediate, analytics)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataloom.operators.windows import first_per_key
+from strataloom.sources.versioned import DayTable
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -44,13 +45,44 @@ def run_keyed(stream: DataFrame, target: str, checkpoint: str, key: str, day: st
 
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = first_per_key(batch, [key], [c for c in schema.names if c != key]).persist()
-        days = [r[0] for r in fresh.select(day).distinct().collect()]
-        touched = F.col(day).isin([d for d in days if d is not None])
-        if None in days:
-            touched = touched | F.col(day).isNull()
-        known = spark.read.schema(schema).parquet(target).where(touched).select(key)
-        fresh.join(known, key, "left_anti").select(schema.names).hint("rebalance", day).write.mode("append").partitionBy(day).parquet(target)
-        fresh.unpersist()
+        try:
+            days = [r[0] for r in fresh.select(day).distinct().collect()]
+            touched = F.col(day).isin([d for d in days if d is not None])
+            if None in days:
+                touched = touched | F.col(day).isNull()
+            known = spark.read.schema(schema).parquet(target).where(touched).select(key)
+            fresh.join(known, key, "left_anti").select(schema.names).hint("rebalance", day).write.mode("append").partitionBy(day).parquet(target)
+        finally:
+            fresh.unpersist()
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def run_upserts(stream: DataFrame, table: DayTable, checkpoint: str, key: str, version: str) -> None:
+    """Insert rows by key and replace those of an older version, batch by batch.
+
+    The day folders that a batch touches are read, merged and written anew
+    beside the old ones; one step makes them count, together with the number of
+    the batch. A batch that is delivered again finds its number and changes
+    nothing, and a replay under a new checkpoint finds no newer version. Of
+    equal versions the row that is there stays. A key keeps its day. What
+    reaches the driver is the list of days of a batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        number, before = table.last()
+        if before["marks"].get(checkpoint, -1) >= batch_id:
+            return
+        ties = [F.col(c) for c in table.schema.names if c not in (key, version)]
+        latest = first_per_key(batch.select(table.schema.names), [key], [F.col(version).desc_nulls_last(), *ties]).persist()
+        try:
+            days = [r[0] for r in latest.select(table.day).distinct().collect()]
+            there = table.read(days).withColumn("_new", F.lit(0))
+            merged = first_per_key(there.unionByName(latest.withColumn("_new", F.lit(1))), [key], [F.col(version).desc_nulls_last(), "_new"])
+            table.replace(merged.drop("_new"), days, marks={checkpoint: batch_id}, after=number)
+        finally:
+            latest.unpersist()
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -59,17 +59,6 @@ def test_first_load_takes_all(spark):
     assert _set(inc.incremental_by_day(daily, rows, ["k"], "at", [F.count("*").alias("n")])) == {(1, 1, 1), (1, None, 1), (2, 3, 1)}
 
 
-def test_backfill_empties_days_and_refuses_no_rows(spark):
-    path = new_dir(spark, "emptied")
-    rows = spark.createDataFrame([(D(2024, 1, d), d) for d in (1, 2, 3)], "day date, n int")
-    sinks.write_partitioned(rows, path, ["day"])
-    for _ in range(2):
-        inc.backfill(rows.where("n <> 2"), path, "day", D(2024, 1, 1), D(2024, 1, 3))
-        assert {r.n for r in spark.read.parquet(path).collect()} == {1, 3}
-    with pytest.raises(ValueError, match="no rows"):
-        inc.backfill(rows.where("false"), path, "day", D(2024, 1, 1), D(2024, 1, 3))
-
-
 def test_whole_message_of_a_failed_run(spark):
     log = new_dir(spark, "faillog")
     with pytest.raises(Exception):
@@ -196,15 +185,6 @@ def test_shared_folder_is_taken_from_the_session(spark):
     assert root and not new_dir(spark, "x") == new_dir(spark, "x")
 
 
-def test_backfill_outside_the_source_is_refused(spark):
-    rows = spark.createDataFrame([(1, D(2026, 4, 1)), (2, D(2026, 4, 2))], "id int, day date")
-    path = new_dir(spark, "fill")
-    with pytest.raises(ValueError, match="outside"):
-        inc.backfill(rows, path, "day", D(2026, 4, 1), D(2026, 4, 9))
-    inc.backfill(rows, path, "day", D(2026, 4, 2), D(2026, 4, 2))
-    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
-
-
 class _Session:
     """The few parts of a session that decide where tables are written."""
 

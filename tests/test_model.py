@@ -137,3 +137,38 @@ def test_time_dimension(spark):
     assert [h for h in hours if hours[h].is_business_hour] == list(range(7, 19))
     own = {r.hour: r for r in dims.time_dim(spark, bands=((6, "day"), (20, "night")), opens=9, closes=10).collect()}
     assert [own[h].part_of_day for h in (5, 6, 19, 20)] == ["night", "day", "day", "night"] and [h for h in own if own[h].is_business_hour] == [9]
+
+
+def _all(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_late_snapshots_in_any_order(spark):
+    import itertools
+
+    rows = [("a", D(2024, m, 1), p) for m, p in ((1, 1.0), (2, 1.0), (4, 3.0), (7, None), (8, 3.0))] + [("b", D(2024, 3, 1), 9.0), (None, D(2024, 2, 1), 5.0), (None, D(2024, 6, 1), 6.0)]
+    schema = "k string, at date, price double"
+    whole = spark.createDataFrame(rows, schema)
+    want = _all(scd.scd2_from_snapshots(whole, "k", "at", ["price"]))
+    loads = [rows[0::3], rows[1::3], rows[2::3]]
+    for order in itertools.permutations(loads):
+        dim = scd.scd2_from_snapshots(spark.createDataFrame(order[0], schema), "k", "at", ["price"])
+        for load in (*order[1:], order[-1]):
+            dim = scd.scd2_add_snapshots(dim, spark.createDataFrame(load, schema), "k", "at", ["price"])
+        assert _all(dim) == want
+    # a corrected snapshot of a known date replaces that version and leaves its dates
+    fixed = scd.scd2_add_snapshots(scd.scd2_from_snapshots(whole, "k", "at", ["price"]), spark.createDataFrame([("a", D(2024, 4, 1), 30.0)], schema), "k", "at", ["price"])
+    assert {(r.price, r.valid_from, r.valid_to) for r in fixed.where("k = 'a' AND price = 30").collect()} == {(30.0, D(2024, 4, 1), D(2024, 6, 30))}
+    assert fixed.count() == len(rows)
+
+
+def test_equal_neighbours_are_joined(spark):
+    rows = [("a", D(2024, 1, 1), 1), ("a", D(2024, 2, 1), 1), ("a", D(2024, 3, 1), None), ("a", D(2024, 4, 1), None), ("a", D(2024, 5, 1), 1)]
+    dim = scd.scd2_from_snapshots(spark.createDataFrame(rows, "k string, at date, x int"), "k", "at", ["x"])
+    joined = scd.scd2_join_equal(dim, ["k"], ["x"])
+    assert joined.columns == dim.columns
+    assert [(r.x, r.valid_from, r.valid_to, r.is_current) for r in joined.orderBy("valid_from").collect()] == [
+        (1, D(2024, 1, 1), D(2024, 2, 29), False), (None, D(2024, 3, 1), D(2024, 4, 30), False), (1, D(2024, 5, 1), D(9999, 12, 31), True)
+    ]
+    gap = joined.where("x IS NOT NULL")
+    assert scd.scd2_join_equal(gap, ["k"], ["x"]).count() == 2  # days without a version lie between

@@ -60,3 +60,77 @@ def test_group_limit_before_the_shuffle(spark, plan_of, name):
 def test_small_literal_tables_are_the_only_forced_broadcasts(spark, plan_of):
     forced = [n for n in NAMES if "BroadcastHashJoin" in plan_of(QUERIES[n](spark, FOLDER))]
     assert set(forced) <= {"j18_holiday", "j18_weekday_name", "w07_row_number_sku", "d15_normalize"}
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, plan_of):
+    plan = plan_of(QUERIES["j13_bucketed"](spark, FOLDER))
+    assert "Exchange" not in plan and plan.count("SelectedBucketsCount: 16 out of 16") == 2
+    assert "SortMergeJoin" in plan
+
+
+def _files_read(df):
+    """Files that the scans of a finished plan opened, by scan."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_a_join_decides_which_folders_are_read(spark, plan_of):
+    from pyspark.sql import functions as F
+
+    from strataloom.catalog.sourcing import write_lines_by_month
+    from strataloom.operators.joins import pruned_by
+    from strataloom.sources.files import Tables
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(QUERIES["i19_pruned_by_join"](spark, FOLDER))
+        assert "dynamicpruning" in plan and "dynamicpruningexpression(true)" not in plan
+        t = Tables(spark, FOLDER)
+        lines = spark.read.parquet(write_lines_by_month(t, "dpp"))
+        folders = lines.select("ship_year", "ship_month").distinct().count()
+        wanted = t.orders.where(F.col("o_orderkey") < 3).select(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+        joined = pruned_by(lines, wanted, {"ship_year": "y", "ship_month": "m"})
+        for threshold in ("-1", "10m"):  # with a query of its own, and by the broadcast side
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert max(_files_read(joined.select("*"))) <= 9 < folders  # each folder column is pruned by itself
+        assert joined.count() == lines.join(wanted.distinct(), (lines["ship_year"] == F.col("y")) & (lines["ship_month"] == F.col("m"))).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_bloom_filter_stands_before_the_shuffle_of_a_large_fact(spark, plan_of):
+    from pyspark.sql import functions as F
+
+    from strataloom.operators.joins import pruned_by
+    from strataloom.sources.files import Tables
+
+    t = Tables(spark, FOLDER)
+    settings = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = pruned_by(t.lineitem, t.orders.where(F.col("o_totalprice") > 450000).select("o_orderkey"), {"l_orderkey": "o_orderkey"})
+        assert "might_contain" in joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert joined.count() == t.lineitem.join(t.orders.where(F.col("o_totalprice") > 450000), F.col("l_orderkey") == F.col("o_orderkey")).count()
+
+
+def test_checked_lines_are_written_once_for_five_results(spark, plan_of):
+    QUERIES["q08_violations"](spark, FOLDER)
+    for name in ("q09_issue_summary", "q10_clean", "q11_quarantine", "q12_overview"):
+        plan = plan_of(QUERIES[name](spark, FOLDER))
+        assert "Join" not in plan and plan.count("FileScan") == 1, name
+    assert "PartitionFilters: [isnotnull(rejected" in plan_of(QUERIES["q11_quarantine"](spark, FOLDER))
