@@ -7,13 +7,16 @@ the sets of one band (or the edge of the next smaller one) with equal members
 in one segment. Pairs of a tile are compared first by bitmaps, whose bits set
 on one side alone bound the overlap from above, then by exact intersection of
 sorted arrays. A first round compares a tile's sets with its leading set only;
-then linked sets are one component, and tiles that hold one component are done,
-so that large groups of near copies are never listed as pairs. What
-is left of a tile is compared in whole, block by block, and only pairs that the
-bitmaps leave open and that are not connected yet come out. So every pair of a
-tile is compared or already connected. Equal sets are one class from the start.
-
-Members and sets are 64-bit hashes. A segment that is empty on both sides says
+then linked sets are one component, and tiles that hold one component are done.
+What is left of a tile is compared in whole, block by block. First each step
+passes on only as many open pairs as would join all sets that bitmaps leave
+open, fewer than it has sets; those pairs are verified and merged. Sets that
+still have an open pair then come with their members, and the step intersects
+them itself and passes on links that join two components, again fewer than it
+has sets. So every pair of a tile is compared or already connected, and no step
+passes on the pairs of a group.
+
+Members are 64-bit hashes, sets are named by 128 bits. A segment that is empty on both sides says
 nothing; sets with an empty segment are segmented again with other seeds, and a
 link escapes only if its differences hit every segment not empty, under all of
 them (below 1e-7 for links at the very limit, nil for all others).
@@ -33,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.batches import small_batches, utf8
+from strataloom.llm.batches import binary_column, small_batches, utf8
 from strataloom.llm.components import components
 from strataloom.llm.words import ODD, mix, shingle_sets
 from strataloom.session import new_dir
 
 BITS = 1024
 LEADERS = (1,)  # leading sets of a tile in the rounds before whole tiles are compared
+NAME = ["set_hash", "set_hash2"]
 BLOCK = 2048  # sets of a tile that meet the sets of another block in one step
 
 
@@ -99,7 +103,7 @@ def bitmaps(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash and bitmap of every row."""
+    """doc_id, n_shingles, the two halves of a 128-bit name of the set, and bitmap of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,10 +111,12 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             whole = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
             ends = np.cumsum(counts)
             name = mix((whole[ends] - whole[ends - counts]) + counts.astype(np.uint64)).view(np.int64)
+            again = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(0xC3C3C3C3C3C3C3C3)))])
+            second = mix(again[ends] - again[ends - counts]).view(np.int64)
             marks = bitmaps(hashes, counts)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_shingles": counts.astype(np.int64), "set_hash": name, "bitmap": pa.array([m.tobytes() for m in marks], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_shingles": counts.astype(np.int64), "set_hash": name, "set_hash2": second, "bitmap": pa.array([m.tobytes() for m in marks], pa.binary())})
 
-    return docs.mapInArrow(work, "doc_id bigint, n_shingles bigint, set_hash bigint, bitmap binary")
+    return docs.mapInArrow(work, "doc_id bigint, n_shingles bigint, set_hash bigint, set_hash2 bigint, bitmap binary")
 
 
 def _tile_rows(docs: DataFrame, words: int, bands: Bands) -> DataFrame:
@@ -144,58 +150,179 @@ def _may_link(pairs: DataFrame, bands: Bands) -> DataFrame:
     return pairs.mapInArrow(work, "a bigint, b bigint")
 
 
-def _tile_pairs(tiles: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs of each tile (tile, node, component, n, bits) in different components that bitmaps do not rule out.
+def _blocks(tiles: DataFrame) -> DataFrame:
+    """The rows of each tile (tile, node, …), dealt into steps (tile, i, j) in which two blocks of its sets meet.
 
-    Tiles of more than BLOCK sets are split into blocks, and every two blocks
-    meet in a step of their own.
+    Tiles of at most BLOCK sets are one step. `own` is the block of the row.
     """
     size = tiles.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = tiles.join(size, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("*", other)
-    rows = rows.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "bits")
-
-    def meet(group: dict[str, np.ndarray], bits: np.ndarray) -> np.ndarray:
-        first, second = np.flatnonzero(group["own"] == group["i"]), np.flatnonzero(group["own"] == group["j"])
-        out = []
-        for a in range(0, len(first), 64):
-            left = first[a : a + 64]
-            only = np.bitwise_count(bits[left][:, None] & ~bits[second]).sum(2, dtype=np.int64)
-            others = np.bitwise_count(bits[second] & ~bits[left][:, None]).sum(2, dtype=np.int64)
-            n, m = group["n"][left][:, None], group["n"][second]
-            overlap = np.minimum(n - only, m - others)
-            fits = (bands.denominator * overlap >= bands.numerator * (n + m - overlap)) & (group["component"][left][:, None] != group["component"][second])
-            x, y = np.nonzero(fits)
-            out.append(np.stack([group["node"][left[x]], group["node"][second[y]]]))
-        return np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+    step = (F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return rows.select("tile", *step, "own", *[c for c in tiles.columns if c != "tile"])
+
+
+class Parts:
+    """Union-find over the components of one step."""
+
+    def __init__(self, component: np.ndarray):
+        names, self.part = np.unique(component, return_inverse=True)
+        self.parent = list(range(len(names)))
+
+    def root(self, part: int) -> int:
+        parent = self.parent
+        while parent[part] != part:
+            parent[part] = parent[parent[part]]
+            part = parent[part]
+        return part
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the rows were in different parts, which are now one."""
+        a, b = self.root(self.part[x]), self.root(self.part[y])
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.root(p) for p in range(len(self.parent))], np.int64)[self.part]
+
+
+def _open_pairs(step: dict[str, np.ndarray], bits: np.ndarray, parts: Parts, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (x, y) of a step in different parts that the bitmaps do not rule out; some at a time, each pair once."""
+    first, second = np.flatnonzero(step["own"] == step["i"]), np.flatnonzero(step["own"] == step["j"])
+    within = len(step["own"]) > 0 and step["i"][0] == step["j"][0]
+    for a in range(0, len(first), 64):
+        left, right = first[a : a + 64], second[a + 1 :] if within else second
+        if not len(right):
+            return
+        only = np.bitwise_count(bits[left][:, None] & ~bits[right]).sum(2, dtype=np.int64)
+        others = np.bitwise_count(bits[right] & ~bits[left][:, None]).sum(2, dtype=np.int64)
+        n, m = step["n"][left][:, None], step["n"][right]
+        overlap = np.minimum(n - only, m - others)
+        roots = parts.roots()
+        fits = (bands.denominator * overlap >= bands.numerator * (n + m - overlap)) & (roots[left][:, None] != roots[right])
+        if within:
+            fits &= left[:, None] < right
+        x, y = np.nonzero(fits)
+        yield left[x], right[y]
+
+
+def _in_steps(rows: DataFrame, schema: str, judge) -> DataFrame:
+    """Apply `judge(columns, bits, arrays)` to every step; only the rows of one step are held at a time."""
+    names = ["tile", "i", "j", "own", "node", "component", "n"]
+    with_arrays = "hashes" in rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["tile", "i", "j", "own", "node", "component", "n"]
-        held: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in names}
-        marks = np.empty((0, BITS // 64), np.uint64)
-
-        def found(end: int) -> pa.RecordBatch:
-            """Compare the groups among the first `end` held rows."""
-            key = np.stack([held[c][:end] for c in ("tile", "i", "j")])
-            begins = np.append(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))), end) if end else [0]
-            pairs = [meet({c: held[c][a:b] for c in names}, marks[a:b]) for a, b in zip(begins, begins[1:], strict=False) if b - a > 1]
-            both = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
-            return pa.RecordBatch.from_pydict({"a": both.min(0), "b": both.max(0)} if both.size else {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        pieces: list[pa.RecordBatch] = []
+
+        def settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            columns = {c: table.column(c).to_numpy().astype(np.int64) for c in names}
+            marks = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            key = np.stack([columns[c] for c in ("tile", "i", "j")])
+            begins = np.append(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))), len(marks))
+            for a, b in zip(begins, begins[1:], strict=False):
+                if b - a > 1:
+                    arrays = [np.frombuffer(h, np.uint64) for h in table.column("hashes").slice(a, b - a).to_pylist()] if with_arrays else []
+                    yield pa.RecordBatch.from_pydict(judge({c: v[a:b] for c, v in columns.items()}, marks[a:b], arrays))
 
         for batch in batches:
-            held = {c: np.concatenate([held[c], np.asarray(batch.column(c)).astype(np.int64)]) for c in names}
-            marks = np.concatenate([marks, np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)])
-            if not len(marks):
+            if not batch.num_rows:
                 continue
-            same = np.ones(len(marks), bool)
-            for c in ("tile", "i", "j"):
-                same &= held[c] == held[c][-1]
+            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("tile", "i", "j")]
+            same = np.ones(batch.num_rows, bool)
+            for c, v in zip(("tile", "i", "j"), last, strict=True):
+                same &= np.asarray(batch.column(c)) == v
             end = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            yield found(end)
-            held, marks = {c: v[end:] for c, v in held.items()}, marks[end:]
-        yield found(len(marks))
+            if end:
+                yield from settled(pa.Table.from_batches([*pieces, batch.slice(0, end)]))
+                pieces = []
+            elif pieces and [pieces[0].column(c)[0].as_py() for c in ("tile", "i", "j")] != last:
+                yield from settled(pa.Table.from_batches(pieces))
+                pieces = []
+            pieces.append(batch.slice(end))
+        if pieces:
+            yield from settled(pa.Table.from_batches(pieces))
+
+    return rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").mapInArrow(work, schema)
+
+
+def _likely_links(tiles: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs that bitmaps leave open, as many as would join all that they leave open: fewer than a step has sets."""
+
+    def judge(step, bits, arrays):
+        parts, a, b = Parts(step["component"]), [], []
+        for left, right in _open_pairs(step, bits, parts, bands):
+            for x, y in zip(left.tolist(), right.tolist(), strict=True):
+                if parts.join(x, y):
+                    a.append(step["node"][x])
+                    b.append(step["node"][y])
+        return {"a": np.minimum(np.array(a, np.int64), b).astype(np.int64), "b": np.maximum(np.array(a, np.int64), b).astype(np.int64)}
+
+    return _in_steps(_blocks(tiles), "a bigint, b bigint", judge)
+
+
+def _still_open(tiles: DataFrame, bands: Bands) -> DataFrame:
+    """tile, node of the sets that some pair is still open for."""
+
+    def judge(step, bits, arrays):
+        parts, found = Parts(step["component"]), np.zeros(len(bits), bool)
+        for left, right in _open_pairs(step, bits, parts, bands):
+            found[left] = found[right] = True
+        return {"tile": step["tile"][found], "node": step["node"][found]}
+
+    return _in_steps(_blocks(tiles), "tile bigint, node bigint", judge)
+
+
+def overlaps(arrays: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact intersection sizes of pairs of different sorted arrays."""
+    involved, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+    members = np.concatenate([arrays[i] for i in involved])
+    if len(left) * 16 < len(involved) ** 2 or len(involved) < 3:
+        return np.array([len(np.intersect1d(arrays[x], arrays[y], assume_unique=True)) for x, y in zip(left.tolist(), right.tolist(), strict=True)], np.int64)
+    # Many pairs of few sets: a product of membership tables, some members at a time. Sums below 2^24 are exact in float32.
+    owner = np.repeat(np.arange(len(involved)), [len(arrays[i]) for i in involved])
+    _, column, held_by = np.unique(members, return_inverse=True, return_counts=True)
+    shared = held_by[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    total = np.zeros((len(involved), len(involved)), np.int64)
+    width = max(1, (32 << 20) // (4 * len(involved)))
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        table = np.zeros((len(involved), width), np.float32)
+        table[owner[a:b], column[a:b] - lo] = 1
+        total += (table @ table.T).astype(np.int64)
+    return total[place[: len(left)], place[len(left) :]]
+
+
+def _exact_links(tiles: DataFrame, bands: Bands) -> DataFrame:
+    """Links (a, b) between the components of each step, by exact intersection: fewer than a step has sets."""
+
+    def judge(step, bits, arrays):
+        parts, a, b = Parts(step["component"]), [], []
+        for left, right in _open_pairs(step, bits, parts, bands):
+            if len(left):
+                both = overlaps(arrays, left, right)
+                linked = bands.denominator * both >= bands.numerator * (step["n"][left] + step["n"][right] - both)
+                for x, y in zip(left[linked].tolist(), right[linked].tolist(), strict=True):
+                    if parts.join(x, y):
+                        a.append(step["node"][x])
+                        b.append(step["node"][y])
+        return {"a": np.minimum(np.array(a, np.int64), b).astype(np.int64), "b": np.maximum(np.array(a, np.int64), b).astype(np.int64)}
+
+    return _in_steps(_blocks(tiles), "a bigint, b bigint", judge)
+
+
+def _members(texts: DataFrame, words: int) -> DataFrame:
+    """node, n, bits, hashes (the sorted members) of the set of each text."""
 
-    return rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").mapInArrow(work, "a bigint, b bigint")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, counts = shingle_sets(*utf8(batch.column("text")), words)
+            marks = pa.array([m.tobytes() for m in bitmaps(hashes, counts)], pa.binary())
+            yield pa.RecordBatch.from_pydict({"node": batch.column("doc_id"), "n": counts.astype(np.int64), "bits": marks, "hashes": binary_column(hashes, counts)})
+
+    return texts.mapInArrow(work, "node bigint, n bigint, bits binary, hashes binary")
 
 
 def _linked(pairs: DataFrame, words: int, bands: Bands) -> DataFrame:
@@ -230,8 +357,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
     bands = Bands(numerator, denominator)
     sets = _written(_sets(docs, words), "sets")
     nodes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = _written(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "classes")
-    member = nodes.join(classes, "set_hash").select("doc_id", "rep", "set_hash", "n_shingles")
+    classes = _written(nodes.groupBy(*NAME).agg(F.min("doc_id").alias("rep")), "classes")
+    member = nodes.join(classes, NAME).select("doc_id", "rep", "n_shingles")
     # Rows that share a doc_id but not a set tie their classes together.
     tied = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
     links = member.join(tied, "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
@@ -242,7 +369,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
     of_rep = member.select("doc_id", "rep").distinct()
     tiles = rows.join(shared, "tile").join(of_rep, "doc_id").select("tile", F.col("rep").alias("node")).distinct()
     tiles = _written(_several(tiles, "node"), "tiles")
-    marks = nodes.join(classes, "set_hash").where("doc_id = rep").select(F.col("rep").alias("node"), F.col("n_shingles").alias("n"), F.col("bitmap").alias("bits")).distinct()
+    marks = nodes.join(classes, NAME).where("doc_id = rep").select(F.col("rep").alias("node"), F.col("n_shingles").alias("n"), F.col("bitmap").alias("bits")).distinct()
     involved = tiles.select(F.col("node").alias("doc_id")).distinct()
     involved = _written(involved, "involved")
     marks = _written(marks.join(involved.withColumnRenamed("doc_id", "node"), "node", "left_semi"), "marks")
@@ -254,6 +381,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
         read = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         return _written(links.union(_linked(read.select("a", "b", "text_a", "text_b"), words, bands)).distinct(), "links")
 
+    def relabelled(tiles: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components by the links so far, and the tiles that hold several of them."""
+        nodes = tiles.select("node").distinct()
+        label = _written(nodes.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
+        return label, _written(_several(tiles.select("tile", "node").join(label, "node"), "component"), "tiles")
+
     for leaders in LEADERS:
         lead = tiles.groupBy("tile", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("part")).agg(F.min("node").alias("lead")).select("tile", "lead")
         pairs = tiles.join(lead, "tile").where("node <> lead")
@@ -264,12 +397,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
         links = verified(_written(_may_link(marked.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bands), "pairs"), links)
         # What has led is compared with its whole tile; tiles within one component are done.
         rest = tiles.select("tile", "node").join(lead.withColumnRenamed("lead", "node"), ["tile", "node"], "left_anti")
-        label = _written(tiles.select("node").distinct().join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
-        tiles = _written(_several(rest.join(label, "node"), "component"), "tiles")
-    links = verified(_written(_tile_pairs(tiles.join(marks, "node"), bands).distinct(), "pairs"), links)
+        label, tiles = relabelled(rest, links)
+    links = verified(_written(_likely_links(tiles.join(marks, "node"), bands).distinct(), "pairs"), links)
+    label, tiles = relabelled(tiles, links)
+    waiting = _written(_still_open(tiles.join(marks, "node"), bands).distinct(), "open")
+    few = texts.join(waiting.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
+    rest = waiting.join(label, "node").join(_members(few, words), "node")
+    links = _written(links.union(_exact_links(rest, bands)).distinct(), "links")
 
     found = components(links)
-    answer = sets.join(classes, "set_hash", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    answer = sets.join(classes, NAME, "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep"))
     return answer.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(own, F.col("doc_id"))).alias("component_id"))
 

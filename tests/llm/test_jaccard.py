@@ -106,6 +106,53 @@ def test_tiles_with_several_components(spark, monkeypatch):
     assert answer(jaccard.jaccard_components(docs, 3, 90, 100)) == want
 
 
+def just_below(n, length, run, seed=5):
+    """Texts of `length` words in which a run of each is replaced: far from the base, and from each other a little below 0.9."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    rows = []
+    for i in range(n):
+        at = rnd.randrange(length - run)
+        rows.append((i, " ".join(base[:at] + [f"x{i}_{j}" for j in range(run)] + base[at + run :])))
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 50])
+def test_pairs_below_the_limit_are_compared_but_not_listed(spark, monkeypatch, block):
+    """No step passes on more rows than it is given, whatever the number of its open pairs."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    given, listed = {}, {}
+
+    def counted(label):
+        whole = getattr(jaccard, label)
+
+        def emit(tiles, bands):
+            found = jaccard._written(whole(tiles, bands), "counted")
+            given[label], listed[label] = jaccard._blocks(tiles).count(), found.count()
+            return found
+
+        return emit
+
+    for label in ("_likely_links", "_still_open", "_exact_links"):
+        monkeypatch.setattr(jaccard, label, counted(label))
+    rows = just_below(240, 200, 11)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert answer(jaccard.jaccard_components(docs, 3, 90, 100)) == brute(rows, 3, 90, 100)
+    assert listed["_likely_links"] > 0 and listed["_still_open"] > 0  # the case occurs
+    for label in listed:
+        assert listed[label] <= given[label], (label, listed, given)
+
+
+def test_overlaps_by_pairs_and_by_tables():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    arrays = [np.sort(rng.choice(pool, rng.integers(1, 300), replace=False)) for _ in range(40)]
+    left, right = np.triu_indices(40, 1)
+    want = [len(set(arrays[a].tolist()) & set(arrays[b].tolist())) for a, b in zip(left, right, strict=True)]
+    assert jaccard.overlaps(arrays, left, right).tolist() == want
+    assert jaccard.overlaps(arrays, left[:5], right[:5]).tolist() == want[:5]
+
+
 def test_no_rows_and_stage(spark):
     docs = spark.createDataFrame([(2, "a b c d e f g h", "x"), (1, "a b c d e f g h", "y"), (3, None, "z"), (None, "a b c d e f g h", "q")], "doc_id bigint, text string, component_id string")
     assert jaccard.jaccard_components(docs.limit(0)).count() == 0
