@@ -10,11 +10,12 @@ sorted arrays. A first round compares a tile's sets with its leading set only;
 then linked sets are one component, and tiles that hold one component are done.
 What is left of a tile is compared in whole, block by block. First each step
 passes on only as many open pairs as would join all sets that bitmaps leave
-open, fewer than it has sets; those pairs are verified and merged. Sets that
-still have an open pair then come with their members, and the step intersects
-them itself and passes on links that join two components, again fewer than it
-has sets. So every pair of a tile is compared or already connected, and no step
-passes on the pairs of a group.
+open, fewer than it has sets; those pairs are verified and merged. The pairs
+that are open then connect components to groups. Sets in any such pair come
+once, with their members, to their group, where blocks of them are intersected
+inside the task; again a step passes on fewer links than it has sets. So every
+pair of a tile is compared or already connected, and no step passes on the
+pairs of a group.
 
 Members are 64-bit hashes, sets are named by 128 bits. A segment that is empty on both sides says
 nothing; sets with an empty segment are segmented again with other seeds, and a
@@ -45,6 +46,7 @@ BITS = 1024
 LEADERS = (1,)  # leading sets of a tile in the rounds before whole tiles are compared
 NAME = ["set_hash", "set_hash2"]
 BLOCK = 2048  # sets of a tile that meet the sets of another block in one step
+EXACT_BLOCK = 512  # the same where sets come with their members
 
 
 class Bands:
@@ -150,12 +152,12 @@ def _may_link(pairs: DataFrame, bands: Bands) -> DataFrame:
     return pairs.mapInArrow(work, "a bigint, b bigint")
 
 
-def _blocks(tiles: DataFrame) -> DataFrame:
+def _blocks(tiles: DataFrame, most: int) -> DataFrame:
     """The rows of each tile (tile, node, …), dealt into steps (tile, i, j) in which two blocks of its sets meet.
 
-    Tiles of at most BLOCK sets are one step. `own` is the block of the row.
+    Tiles of at most `most` sets are one step. `own` is the block of the row.
     """
-    size = tiles.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    size = tiles.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = tiles.join(size, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("*", other)
     step = (F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
@@ -186,8 +188,8 @@ class Parts:
         return np.array([self.root(p) for p in range(len(self.parent))], np.int64)[self.part]
 
 
-def _open_pairs(step: dict[str, np.ndarray], bits: np.ndarray, parts: Parts, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows (x, y) of a step in different parts that the bitmaps do not rule out; some at a time, each pair once."""
+def _open_pairs(step: dict[str, np.ndarray], bits: np.ndarray, parts: Parts | np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (x, y) of a step in different parts, now or as they were, that the bitmaps do not rule out; some at a time, each pair once."""
     first, second = np.flatnonzero(step["own"] == step["i"]), np.flatnonzero(step["own"] == step["j"])
     within = len(step["own"]) > 0 and step["i"][0] == step["j"][0]
     for a in range(0, len(first), 64):
@@ -198,7 +200,7 @@ def _open_pairs(step: dict[str, np.ndarray], bits: np.ndarray, parts: Parts, ban
         others = np.bitwise_count(bits[right] & ~bits[left][:, None]).sum(2, dtype=np.int64)
         n, m = step["n"][left][:, None], step["n"][right]
         overlap = np.minimum(n - only, m - others)
-        roots = parts.roots()
+        roots = parts.roots() if isinstance(parts, Parts) else parts
         fits = (bands.denominator * overlap >= bands.numerator * (n + m - overlap)) & (roots[left][:, None] != roots[right])
         if within:
             fits &= left[:, None] < right
@@ -245,31 +247,25 @@ def _in_steps(rows: DataFrame, schema: str, judge) -> DataFrame:
     return rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").mapInArrow(work, schema)
 
 
-def _likely_links(tiles: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs that bitmaps leave open, as many as would join all that they leave open: fewer than a step has sets."""
+def _open(tiles: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs a < b that bitmaps leave open, as many as would join all that they leave open; and, as a = b, the sets in any open pair.
+
+    No step passes on more than two rows a set.
+    """
 
     def judge(step, bits, arrays):
-        parts, a, b = Parts(step["component"]), [], []
-        for left, right in _open_pairs(step, bits, parts, bands):
-            for x, y in zip(left.tolist(), right.tolist(), strict=True):
+        parts, found, a, b = Parts(step["component"]), np.zeros(len(bits), bool), [], []
+        before = parts.roots()
+        for left, right in _open_pairs(step, bits, before, bands):
+            found[left] = found[right] = True
+            for x, y in zip(left.tolist(), right.tolist(), strict=True) if len(parts.parent) > 1 else ():
                 if parts.join(x, y):
                     a.append(step["node"][x])
                     b.append(step["node"][y])
-        return {"a": np.minimum(np.array(a, np.int64), b).astype(np.int64), "b": np.maximum(np.array(a, np.int64), b).astype(np.int64)}
-
-    return _in_steps(_blocks(tiles), "a bigint, b bigint", judge)
-
-
-def _still_open(tiles: DataFrame, bands: Bands) -> DataFrame:
-    """tile, node of the sets that some pair is still open for."""
-
-    def judge(step, bits, arrays):
-        parts, found = Parts(step["component"]), np.zeros(len(bits), bool)
-        for left, right in _open_pairs(step, bits, parts, bands):
-            found[left] = found[right] = True
-        return {"tile": step["tile"][found], "node": step["node"][found]}
+        pair, alone = np.array([a, b], np.int64).reshape(2, -1), step["node"][found]
+        return {"a": np.concatenate([pair.min(0), alone]), "b": np.concatenate([pair.max(0), alone])}
 
-    return _in_steps(_blocks(tiles), "tile bigint, node bigint", judge)
+    return _in_steps(_blocks(tiles, BLOCK), "a bigint, b bigint", judge)
 
 
 def overlaps(arrays: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -295,8 +291,8 @@ def overlaps(arrays: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> n
     return total[place[: len(left)], place[len(left) :]]
 
 
-def _exact_links(tiles: DataFrame, bands: Bands) -> DataFrame:
-    """Links (a, b) between the components of each step, by exact intersection: fewer than a step has sets."""
+def _exact_links(groups: DataFrame, bands: Bands) -> DataFrame:
+    """Links (a, b) between the components of each group (as tile), by exact intersection: fewer than a step has sets."""
 
     def judge(step, bits, arrays):
         parts, a, b = Parts(step["component"]), [], []
@@ -310,7 +306,7 @@ def _exact_links(tiles: DataFrame, bands: Bands) -> DataFrame:
                         b.append(step["node"][y])
         return {"a": np.minimum(np.array(a, np.int64), b).astype(np.int64), "b": np.maximum(np.array(a, np.int64), b).astype(np.int64)}
 
-    return _in_steps(_blocks(tiles), "a bigint, b bigint", judge)
+    return _in_steps(_blocks(groups, EXACT_BLOCK), "a bigint, b bigint", judge)
 
 
 def _members(texts: DataFrame, words: int) -> DataFrame:
@@ -398,11 +394,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
         # What has led is compared with its whole tile; tiles within one component are done.
         rest = tiles.select("tile", "node").join(lead.withColumnRenamed("lead", "node"), ["tile", "node"], "left_anti")
         label, tiles = relabelled(rest, links)
-    links = verified(_written(_likely_links(tiles.join(marks, "node"), bands).distinct(), "pairs"), links)
+    likely = _written(_open(tiles.join(marks, "node"), bands).distinct(), "open")
+    links = verified(_written(likely.where("a < b"), "pairs"), links)
     label, tiles = relabelled(tiles, links)
-    waiting = _written(_still_open(tiles.join(marks, "node"), bands).distinct(), "open")
-    few = texts.join(waiting.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-    rest = waiting.join(label, "node").join(_members(few, words), "node")
+    # What is open now is compared by members, each set once: in groups of components that open pairs connect.
+    still = _written(_open(tiles.join(marks, "node"), bands).distinct(), "open")
+    waiting = still.where("a = b").select(F.col("a").alias("node")).join(label, "node")
+    ends = still.where("a < b").join(label.toDF("a", "of_a"), "a").join(label.toDF("b", "of_b"), "b")
+    group = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("component", "tile")
+    few = texts.join(waiting.select(F.col("node").alias("doc_id")), "doc_id")
+    rest = waiting.join(group, "component").join(_members(few, words), "node")
     links = _written(links.union(_exact_links(rest, bands)).distinct(), "links")
 
     found = components(links)

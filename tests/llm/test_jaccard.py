@@ -92,6 +92,7 @@ def test_planted_variants(spark, size, numerator, denominator):
 def test_tiles_with_several_components(spark, monkeypatch):
     """Chains in one tile, where the leaders are linked with few: whole tiles must give the rest, in blocks too."""
     monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "EXACT_BLOCK", 5)
     rnd = random.Random(11)
     base = [f"b{i}" for i in range(400)]
     rows = []
@@ -119,28 +120,33 @@ def just_below(n, length, run, seed=5):
 
 @pytest.mark.parametrize("block", [2048, 50])
 def test_pairs_below_the_limit_are_compared_but_not_listed(spark, monkeypatch, block):
-    """No step passes on more rows than it is given, whatever the number of its open pairs."""
+    """No step passes on more rows than it has sets, whatever the number of its open pairs."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
-    given, listed = {}, {}
+    monkeypatch.setattr(jaccard, "EXACT_BLOCK", block)
+    calls = []
 
     def counted(label):
         whole = getattr(jaccard, label)
 
         def emit(tiles, bands):
             found = jaccard._written(whole(tiles, bands), "counted")
-            given[label], listed[label] = jaccard._blocks(tiles).count(), found.count()
+            calls.append((label, jaccard._blocks(tiles, block).count(), found.where("a < b").count(), found.where("a = b").count()))
             return found
 
         return emit
 
-    for label in ("_likely_links", "_still_open", "_exact_links"):
+    for label in ("_open", "_exact_links"):
         monkeypatch.setattr(jaccard, label, counted(label))
     rows = just_below(240, 200, 11)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert answer(jaccard.jaccard_components(docs, 3, 90, 100)) == brute(rows, 3, 90, 100)
-    assert listed["_likely_links"] > 0 and listed["_still_open"] > 0  # the case occurs
-    for label in listed:
-        assert listed[label] <= given[label], (label, listed, given)
+    assert [c[0] for c in calls] == ["_open", "_open", "_exact_links"]
+    for label, given, pairs, sets in calls:
+        assert pairs <= given and sets <= given, (label, given, pairs, sets)
+    given = {c[0]: c[1] for c in calls}
+    assert calls[1][2] > 0 and given["_exact_links"] > 0  # the case occurs
+    blocks = -(-240 // block)
+    assert given["_exact_links"] <= 240 * (2 * blocks + 1)  # each set comes once to every block, not to every tile
 
 
 def test_overlaps_by_pairs_and_by_tables():
