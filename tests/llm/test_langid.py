@@ -58,7 +58,7 @@ def test_accuracy_rejection_and_odd_rows(spark, docs):
     assert all(r.lang == r.lang_pred and not r.rejected and 0 <= r.score <= 1 for r in told)
     kept = langid.keep_known(docs.unionByName(odd))
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted([*range(300), -1, 1004, 1004])
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == sorted([*range(300), -1, 1004, 1004])
 
 
 def test_split_batches_change_nothing(docs):
