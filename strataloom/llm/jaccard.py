@@ -8,14 +8,13 @@ in one segment. Pairs of a tile are compared first by bitmaps, whose bits set
 on one side alone bound the overlap from above, then by exact intersection of
 sorted arrays. A first round compares a tile's sets with its leading set only;
 then linked sets are one component, and tiles that hold one component are done.
-What is left of a tile is compared in whole, block by block. First each step
-passes on only as many open pairs as would join all sets that bitmaps leave
-open, fewer than it has sets; those pairs are verified and merged. The pairs
-that are open then connect components to groups. Sets in any such pair come
-once, with their members, to their group, where blocks of them are intersected
-inside the task; again a step passes on fewer links than it has sets. So every
-pair of a tile is compared or already connected, and no step passes on the
-pairs of a group.
+What is left of a tile is compared in whole, block by block: by bitmaps first,
+where a step passes on only as many open pairs as would join all sets that
+bitmaps leave open, fewer than it has sets. Those pairs connect components to
+groups. Sets in any open pair come once, with their members, to their group,
+where blocks of them are intersected inside the task; again a step passes on
+fewer links than it has sets. So every pair of a tile is compared or already
+connected, and no step passes on the pairs of a group.
 
 Members are 64-bit hashes, sets are named by 128 bits. A segment that is empty on both sides says
 nothing; sets with an empty segment are segmented again with other seeds, and a
@@ -110,23 +109,32 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, counts = shingle_sets(*utf8(batch.column("text")), words)
-            whole = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
-            ends = np.cumsum(counts)
-            name = mix((whole[ends] - whole[ends - counts]) + counts.astype(np.uint64)).view(np.int64)
-            again = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(0xC3C3C3C3C3C3C3C3)))])
-            second = mix(again[ends] - again[ends - counts]).view(np.int64)
+            name, second = _names(hashes, counts)
             marks = bitmaps(hashes, counts)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_shingles": counts.astype(np.int64), "set_hash": name, "set_hash2": second, "bitmap": pa.array([m.tobytes() for m in marks], pa.binary())})
 
     return docs.mapInArrow(work, "doc_id bigint, n_shingles bigint, set_hash bigint, set_hash2 bigint, bitmap binary")
 
 
+def _names(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit names of each set."""
+    ends, halves = np.cumsum(counts), []
+    for salt in (0xA5A5A5A5A5A5A5A5, 0xC3C3C3C3C3C3C3C3):
+        whole = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(salt)))])
+        halves.append(mix((whole[ends] - whole[ends - counts]) + counts.astype(np.uint64)).view(np.int64))
+    return halves[0], halves[1]
+
+
 def _tile_rows(docs: DataFrame, words: int, bands: Bands) -> DataFrame:
-    """tile, doc_id: the tiles of every row."""
+    """tile, doc_id: the tiles of every different set of a batch, under one of its documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owner = bands.keys(*shingle_sets(*utf8(batch.column("text")), words))
+            hashes, counts = shingle_sets(*utf8(batch.column("text")), words)
+            first = np.zeros(len(counts), bool)
+            first[np.unique(np.stack(_names(hashes, counts)), axis=1, return_index=True)[1]] = True
+            hashes, counts = hashes[np.repeat(first, counts)], np.where(first, counts, 0)
+            keys, owner = bands.keys(hashes, counts)
             ids = batch.column("doc_id").take(pa.array(owner))
             for a in range(0, len(keys), 1 << 17):
                 yield pa.RecordBatch.from_pydict({"tile": keys[a : a + (1 << 17)].view(np.int64), "doc_id": ids[a : a + (1 << 17)]})
@@ -134,6 +142,26 @@ def _tile_rows(docs: DataFrame, words: int, bands: Bands) -> DataFrame:
     return docs.where("doc_id IS NOT NULL").mapInArrow(work, "tile bigint, doc_id bigint")
 
 
+def _crowded(rows: DataFrame) -> DataFrame:
+    """The rows (tile, doc_id) whose tile has several rows: one exchange by tile, then neighbours in a stream."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = np.empty((2, 0), np.int64), False  # the last row, and whether its tile has a row before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = np.concatenate([held, np.stack([np.asarray(batch.column(c)) for c in ("tile", "doc_id")])], axis=1)
+            same = both[0, 1:] == both[0, :-1]
+            before = np.append(known, same)
+            keep = before[:-1] | same
+            yield pa.RecordBatch.from_pydict({"tile": both[0, :-1][keep], "doc_id": both[1, :-1][keep]})
+            held, known = both[:, -1:], bool(before[-1])
+        if known:
+            yield pa.RecordBatch.from_pydict({"tile": held[0], "doc_id": held[1]})
+
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(work, "tile bigint, doc_id bigint")
+
+
 def _may_link(pairs: DataFrame, bands: Bands) -> DataFrame:
     """The pairs whose bitmaps do not rule a link out."""
 
@@ -360,10 +388,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
     links = member.join(tied, "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
     links = _written(links, "links")
 
-    rows = _tile_rows(docs, words, bands)
-    shared = rows.groupBy("tile").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("tile")
     of_rep = member.select("doc_id", "rep").distinct()
-    tiles = rows.join(shared, "tile").join(of_rep, "doc_id").select("tile", F.col("rep").alias("node")).distinct()
+    tiles = _crowded(_tile_rows(docs, words, bands)).join(of_rep, "doc_id").select("tile", F.col("rep").alias("node")).distinct()
     tiles = _written(_several(tiles, "node"), "tiles")
     marks = nodes.join(classes, NAME).where("doc_id = rep").select(F.col("rep").alias("node"), F.col("n_shingles").alias("n"), F.col("bitmap").alias("bits")).distinct()
     involved = tiles.select(F.col("node").alias("doc_id")).distinct()
@@ -394,9 +420,6 @@ def jaccard_components(docs: DataFrame, words: int = 5, numerator: int = 4, deno
         # What has led is compared with its whole tile; tiles within one component are done.
         rest = tiles.select("tile", "node").join(lead.withColumnRenamed("lead", "node"), ["tile", "node"], "left_anti")
         label, tiles = relabelled(rest, links)
-    likely = _written(_open(tiles.join(marks, "node"), bands).distinct(), "open")
-    links = verified(_written(likely.where("a < b"), "pairs"), links)
-    label, tiles = relabelled(tiles, links)
     # What is open now is compared by members, each set once: in groups of components that open pairs connect.
     still = _written(_open(tiles.join(marks, "node"), bands).distinct(), "open")
     waiting = still.where("a = b").select(F.col("a").alias("node")).join(label, "node")

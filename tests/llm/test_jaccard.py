@@ -140,11 +140,11 @@ def test_pairs_below_the_limit_are_compared_but_not_listed(spark, monkeypatch, b
     rows = just_below(240, 200, 11)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert answer(jaccard.jaccard_components(docs, 3, 90, 100)) == brute(rows, 3, 90, 100)
-    assert [c[0] for c in calls] == ["_open", "_open", "_exact_links"]
+    assert [c[0] for c in calls] == ["_open", "_exact_links"]
     for label, given, pairs, sets in calls:
         assert pairs <= given and sets <= given, (label, given, pairs, sets)
     given = {c[0]: c[1] for c in calls}
-    assert calls[1][2] > 0 and given["_exact_links"] > 0  # the case occurs
+    assert calls[0][2] > 0 and given["_exact_links"] > 0  # the case occurs
     blocks = -(-240 // block)
     assert given["_exact_links"] <= 240 * (2 * blocks + 1)  # each set comes once to every block, not to every tile
 
