@@ -146,7 +146,15 @@ def asof_join(
     `span` gives the first and last date of the fact where they are known or
     cheaper to find than by another evaluation of the fact. Dates outside it
     find no version.
+
+    Grain `key` joins on the key alone, so that the fact need not be dealt anew
+    if it comes dealt by the key or is joined on it next. The versions of a key
+    are gathered in one row, which suits versions of a calendar (one a month),
+    whose number is bounded; a hot key of the fact is left to AQE to split.
+    `span` is not needed there.
     """
+    if grain == "key":
+        return _asof_gathered(fact, versions, key, at, version_key, valid_from, valid_to, how)
     if grain not in ("year", "month"):
         raise ValueError(f"unknown grain {grain!r}")
     unit = "YEAR" if grain == "year" else "MM"
@@ -164,3 +172,17 @@ def asof_join(
         & F.col(at).between(F.col(valid_from), F.col(valid_to))
     )
     return fact.join(spread, on, how).drop("_period")
+
+
+def _asof_gathered(fact: DataFrame, versions: DataFrame, key: str | Column, at: str, version_key: str, valid_from: str, valid_to: str, how: str) -> DataFrame:
+    """`asof_join` on the key alone, with the versions of a key in one row."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"grain 'key' knows inner and left, not {how!r}")
+    rest = [c for c in versions.columns if c != version_key]
+    gathered = versions.where(F.col(version_key).isNotNull()).groupBy(version_key).agg(F.collect_list(F.struct(*rest)).alias("_versions"))
+    joined = fact.join(gathered, (F.col(key) if isinstance(key, str) else key) == F.col(version_key), how)
+    valid = F.filter("_versions", lambda v: F.col(at).between(v[valid_from], v[valid_to]))
+    # at most one version is valid unless intervals overlap, so the rows of a fact are not multiplied
+    paired = joined.withColumn("_versions", valid).select(*fact.columns, version_key, (F.inline if how == "inner" else F.inline_outer)("_versions"))
+    met = F.when(F.col(valid_from).isNotNull(), F.col(version_key)) if how == "left" else F.col(version_key)
+    return paired.withColumn(version_key, met).select(*fact.columns, *versions.columns)

@@ -46,15 +46,25 @@ def row_count_verdict(df: DataFrame, lo: int, hi: int) -> DataFrame:
     return df.agg(n.alias("row_count"), F.when(n.between(lo, hi), "pass").otherwise("fail").alias("status"))
 
 
-def mark_duplicates(df: DataFrame, key: str | Column, flag: str) -> DataFrame:
+def mark_duplicates(df: DataFrame, key: str | Column, flag: str, within: str | None = None) -> DataFrame:
     """Flag rows whose key occurs again elsewhere.
 
     The key may be an expression; it is then not carried along. Keys are counted with map-side partial counts and only repeated keys are
     joined back, so a key with very many copies is never gathered in one task
     to be counted.
+
+    `within` names a column that is part of the key and that `df` is joined on
+    next. The repeated keys are then gathered by it and met on it, so that both
+    joins share one shuffle of `df`. Rows without a value there are not flagged.
     """
     key = F.col(key) if isinstance(key, str) else key
-    repeated = df.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    counted = df.where(key.isNotNull()) if within is None else df.where(F.col(within).isNotNull())
+    by = [key.alias("_key")] if within is None else [F.col(within).alias("_within"), key.alias("_key")]
+    repeated = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if within is not None:
+        gathered = repeated.groupBy("_within").agg(F.collect_list("_key").alias("_keys"))
+        joined = df.join(gathered, F.col(within) == F.col("_within"), "left")
+        return joined.withColumn(flag, F.coalesce(F.array_contains("_keys", key), F.lit(False))).drop("_within", "_keys")
     joined = df.join(repeated.select("_key"), key == F.col("_key"), "left")
     return joined.withColumn(flag, F.col("_key").isNotNull()).drop("_key")
 

@@ -89,3 +89,17 @@ def test_order_without_customer_keeps_its_row(spark):
         supplier=spark.createDataFrame([(7, 5), (8, 5)], "s_suppkey int, s_nationkey int"),
     )
     assert {tuple(r) for r in j15(t).collect()} == {(1, 7), (2, None)}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_asof_by_key_equals_asof_by_year(spark, how):
+    """Overlapping, undated and repeated versions, keys without versions, undated and repeated facts."""
+    day = dt.date
+    facts = [(1, 1, day(2020, 3, 1)), (1, 1, day(2020, 3, 1)), (2, 1, day(2021, 3, 1)), (3, 1, day(2019, 1, 1)), (4, 2, day(2020, 1, 1)), (5, None, day(2020, 1, 1)), (6, 1, None), (7, 9, day(2020, 5, 5))]
+    versions = [(1, "a", day(2020, 1, 1), day(2020, 12, 31)), (1, "b", day(2020, 2, 1), day(9999, 12, 31)), (1, "c", None, day(2020, 1, 1)), (2, "d", day(2020, 1, 1), day(2020, 1, 1)), (2, "d", day(2020, 1, 1), day(2020, 1, 1)), (None, "e", day(2020, 1, 1), day(9999, 12, 31))]
+    f = spark.createDataFrame(facts, "id int, k int, day date")
+    v = spark.createDataFrame(versions, "vk int, version string, valid_from date, valid_to date")
+    by_year = joins.asof_join(f, v, "k", "day", "vk", how=how)
+    by_key = joins.asof_join(f, v, "k", "day", "vk", how=how, grain="key")
+    assert by_key.columns == by_year.columns
+    assert sorted(map(str, by_key.collect())) == sorted(map(str, by_year.collect()))

@@ -95,3 +95,29 @@ def test_registry_updates_by_name(spark):
     old = q.asset_rows(spark, [asset, dict(asset, asset_name="u")])
     new = q.asset_rows(spark, [dict(asset, owner_name="b")])
     assert {(r.asset_name, r.owner_name) for r in q.register_assets(old, new).collect()} == {("t", "b"), ("u", "a")}
+
+
+def test_duplicates_within_a_key_equal_duplicates(spark):
+    rows = [(1, 1, "a"), (1, 1, "a"), (1, 2, "a"), (2, 1, "a"), (2, None, None), (2, None, None), (3, None, "a"), (3, 1, None)]
+    df = spark.createDataFrame(rows, "k int, n int, s string")
+    plain, shared = (sorted(map(str, q.mark_duplicates(df, F.struct("k", "n", "s"), "again", **more).collect())) for more in ({}, {"within": "k"}))
+    assert shared == plain and sum("True" in r for r in shared) == 4
+
+
+def test_lines_move_once_to_their_orders_and_once_to_their_parts(spark, plan_of):
+    """Without broadcasts two of the exchanges carry the supplier, which only the lines have."""
+    from strataloom.catalog.quality import checked_lines
+    from strataloom.sources.files import Tables
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.maxMetadataStringLength": "10000"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        checked, _ = checked_lines(Tables(spark, "/root/testdata/sf0.001"))
+        text = checked._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    moved = [line for i, line in enumerate(text) if "Exchange hashpartitioning" in line and "l_suppkey" in "".join(text[i + 1 : i + 2])]
+    assert len(moved) == 2, "\n".join(text)
