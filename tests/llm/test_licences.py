@@ -85,3 +85,16 @@ def test_query(spark):
     assert len(found) == len(docs)
     wrong = [r.doc_id for r in found if r.families != sorted({f for line, f in LINES.items() if line.lower() in docs[r.doc_id].lower().split("\n")})]
     assert len(wrong) <= 0.005 * len(docs), wrong[:10]
+
+
+def test_every_line_counts_in_the_fit(spark):
+    """No document is left out of the model and its limits, however many there are."""
+    kinds = ["just a line of plain text", "the code of the door", "a line with one copy left", "under the terms of the day"]
+    rows = [(i, "\n".join([kinds[i % 4], "", kinds[(i // 4) % 4] + f" {i}"])) for i in range(1200)] + [(5000, "Released under the MIT License."), (5001, None)]
+    scanner = licences.Scanner(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    heads, marks = scanner.marks.where("paragraph IS NULL"), scanner.marks.where("paragraph IS NOT NULL")
+    counted = heads.selectExpr("sum(n_paragraphs)", "sum(n_bare + n_bare_held)", "count(*)").first()
+    assert (counted[0], counted[2]) == (2401, 1202) and counted[1] + marks.count() == 2401
+    held = [t.split("\n")[k] for _, t in rows[:1200] for k in (0, 2) if re.search(r"\bcode\b|\bcopy\b", t.split("\n")[k])]
+    wanted = spark.createDataFrame([(x,) for x in held], "line string").where(f"pmod(xxhash64(line), {licences.CALIBRATION}) = 0").count()
+    assert scanner._training().where("tells").selectExpr("sum(n_held)").first()[0] == wanted > 0
