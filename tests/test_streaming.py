@@ -166,3 +166,13 @@ def test_a_batch_that_was_written_is_recognised(spark):
     table.replace(rows, marks={f"{root}/cp": 0})
     st.run_upserts(st.read_stream(spark, source, rows.schema), table, f"{root}/cp", "id", "version")
     assert table.last()[0] == 1
+
+
+def test_bounded_stream_deals_only_what_is_read(spark, monkeypatch):
+    from strataloom.catalog import QUERIES
+    from strataloom.streaming import file_streams
+
+    seen, run = [], file_streams.run_to_files
+    monkeypatch.setattr(file_streams, "run_to_files", lambda stream, *paths: (seen.append(stream.columns), run(stream, *paths)))
+    assert QUERIES["r03_bounded"](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen == [["event_id", "user_id", "event_type", "value", "ts"]] * 4
