@@ -3,11 +3,12 @@
 A paragraph is a line of text, and beside it the lines it is wrapped with: up
 to one before and two after it, as far as no blank line lies between, without
 comment marks. Its features are the words and word pairs that occur in the
-notices below, hashed into a sparse vector. A multinomial logistic regression
-learns the families from the notices, each alone and beside the features of
-other text, against all lines of all documents that hold no telling word pair of
-a notice. Lines with the same features count as one training row with their
-number, so the fit reads every line and yet works on one row per set of features.
+notices below, hashed into a sparse vector that keeps only the columns these
+fall into. A multinomial logistic regression learns the families from the
+notices, each alone and beside the features of other text, against all lines of
+all documents that hold no telling word pair of a notice. Lines with the same
+features count as one training row with their number, so the fit reads every
+line and yet works on one row per set of features.
 The weights of the classes are fixed shares and do not depend on the size of the
 table. One in `CALIBRATION` lines only calibrates, and of these the ones that hold
 a telling word, as the scored ones do: both the probability that a line is a
@@ -33,7 +34,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,8 @@ class Scanner:
         self.known = notices(spark)
         self.vocabulary, self.telling = _vocabulary(self.known)
         self.families = [*NOTICES, NONE]
+        self.hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="hashed")
+        self.columns = sorted({self.hashing.indexOf(g) for g in self.vocabulary})
         self.marks = full_refresh(self._marked(docs, keep_lines), new_dir(spark, "licences"))
         rows = self._training()
         self.model: LogisticRegressionModel = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=0.0005, maxIter=60, family="multinomial").fit(rows.where("weight > 0").select("features", "label", "weight"))
@@ -186,9 +189,9 @@ class Scanner:
         return cut_lineage(self._featured(rows).withColumn("label", label).select("features", "label", "weight", "n_held", "tells"))
 
     def _featured(self, rows: DataFrame) -> DataFrame:
-        """Column `features` as a vector."""
+        """Column `features` as a vector of the columns that the vocabulary is hashed to; no set has others, and the fit holds arrays of that width in the driver."""
         sets = rows.withColumn("grams", F.array_remove(F.split("features", SEPARATOR_PATTERN), "")).drop("features")
-        return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(sets)
+        return VectorSlicer(inputCol="hashed", outputCol="features", indices=self.columns).transform(self.hashing.transform(sets)).drop("hashed")
 
     def _judged(self) -> DataFrame:
         """Every set of features that a line to be scored or the lines around it have: of, licence (whether it is one), probability and similarity of the likeliest family (guess), confirmed."""

@@ -98,3 +98,13 @@ def test_every_line_counts_in_the_fit(spark):
     held = [t.split("\n")[k] for _, t in rows[:1200] for k in (0, 2) if re.search(r"\bcode\b|\bcopy\b", t.split("\n")[k])]
     wanted = spark.createDataFrame([(x,) for x in held], "line string").where(f"pmod(xxhash64(line), {licences.CALIBRATION}) = 0").count()
     assert scanner._training().where("tells").selectExpr("sum(n_held)").first()[0] == wanted > 0
+
+
+def test_the_fit_is_as_wide_as_the_vocabulary(spark):
+    """The driver holds some vectors of classes times columns, and gets one from every branch of a sum."""
+    scanner = licences.Scanner(spark.createDataFrame([(1, "Released under the MIT License."), (2, "a line of text")], "doc_id bigint, text string"))
+    assert 0 < scanner.model.numFeatures <= len(scanner.vocabulary)
+    whole = spark.createDataFrame([(licences.SEPARATOR.join(scanner.vocabulary),), *((g,) for g in scanner.vocabulary), ("",)], "features string")
+    found = [r.features for r in scanner._featured(whole).collect()]
+    assert {v.size for v in found} == {scanner.model.numFeatures}
+    assert sorted(v.numNonzeros() for v in found) == [0, *[1] * len(scanner.vocabulary), scanner.model.numFeatures]  # every word and pair has a column
