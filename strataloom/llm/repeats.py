@@ -6,12 +6,12 @@ of equal ones), so equal windows have equal anchors at the same offset. The
 windows of one anchor are consecutive and cover one context. Contexts that are
 equal as a whole (64-bit hashes of anchor and context) match in all their
 windows: within a batch and then by anchor, only the earliest goes on. Where an
-anchor still has different contexts, its windows are sent on as bytes, in
-groups that agree on all but the outermost SPREAD - 1 bytes. An anchor with more
-than HOT waiting contexts would make such groups without bound, so its windows
-go on one by one, dealt by a hash of all their bytes; of equal ones a batch
-sends only the earliest. There the suffixes
-are sorted, and the longest previous factor of a suffix reaches LENGTH exactly
+anchor still has different contexts, its windows go on in groups that agree on
+all but the outermost SPREAD - 1 bytes. An anchor with more than HOT waiting
+contexts would make such groups without bound, so its windows go on one by one,
+named by a hash of all their bytes; of equal ones a batch sends only the
+earliest. Only the names of the groups meet at first; the bytes of a window are
+sent where another one has its name. There the suffixes are sorted, and the longest previous factor of a suffix reaches LENGTH exactly
 if, among its neighbours in suffix order with a common prefix of LENGTH, the
 previous or the next smaller position exists. Texts equal as a whole are
 resolved beforehand, as their later copies are removed from end to end.
@@ -36,18 +36,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.batches import binary_column, gather, small_batches, utf8
+from strataloom.llm.batches import binary_column, gather, packed, small_batches, unpacked, utf8
 from strataloom.llm.words import BYTE, ODD, mix, powers
 
 LENGTH, GRAM, SPREAD = 100, 24, 16
 HOT = 4096  # waiting contexts of one anchor that are compared as one group
 ITEMS = 2048  # contexts of hot anchors looked at in one go
 PIECE = 1 << 20  # window starts looked at in one go
+RUNS = 1 << 13  # runs sent on as bytes in one go
 NO_ID = (1 << 63) - 1
 INVERSE = pow(ODD, -1, 1 << 64)
 MASK = (1 << 64) - 1
 
 ROWS = "kind int, gram bigint, context bigint, doc bigint, variant bigint, first int, n int, offset int"
+CORES = "core bigint, doc bigint, variant bigint, first bigint, n bigint, settled boolean"
 REMOVED, WAITS, WAITS_HOT = 0, 1, 2
 
 
@@ -127,7 +129,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     """ROWS of all anchors; copies met within a batch are settled at once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches, "text"):
             of, first, n, offset, gram, context = anchors(*utf8(batch.column("text")), length, GRAM)
             doc, variant = batch.column("doc").to_numpy()[of], batch.column("variant").to_numpy()[of]
             rows = {"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "variant": variant, "first": first, "n": n, "offset": offset}
@@ -206,18 +208,18 @@ def _meet(rows: DataFrame, hot: int) -> DataFrame:
     return rows.mapInArrow(work, ROWS)
 
 
-def _pieces(docs: DataFrame, length: int) -> DataFrame:
-    """The waiting windows of each document as bytes, in runs of at most SPREAD.
+def _cores(docs: DataFrame, length: int) -> DataFrame:
+    """The waiting windows of each document in runs of at most SPREAD, named by `core`.
 
     `core` names the bytes that all windows of a full run share; equal windows
     have equal cores, as the run follows from the offset of the anchor. Windows of
     hot anchors are runs of their own with all their bytes as core; those with an
-    earlier equal one in the batch come as settled runs without bytes.
+    earlier equal one in the batch come as settled runs.
     """
     share = length - SPREAD + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches, "text"):
             raw, bounds = utf8(batch.column("text"))
             waits = batch.column("waits")
             count = np.diff(np.asarray(waits.offsets))
@@ -244,20 +246,17 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
                 core_at = core_at[use]
                 core = _hash_runs(raw, core_at, share)
                 core = mix(core + mix(gram[use] + np.uint64(run)))
-                many = (to - from_ + 1)[use]
-                size = many + length - 1
-                data = raw[gather(begin[use], size)]
                 owner = doc[use]
                 yield pa.RecordBatch.from_pydict({
                     "core": core.view(np.int64), "doc": batch.column("doc").take(pa.array(owner)), "variant": batch.column("variant").take(pa.array(owner)),
-                    "first": pa.array(begin[use] - bounds[owner]), "n": pa.array(many), "bytes": binary_column(data, size),
+                    "first": pa.array(begin[use] - bounds[owner]), "n": pa.array((to - from_ + 1)[use]), "settled": pa.array(np.zeros(len(use), bool)),
                 })
 
-    return docs.mapInArrow(work, "core bigint, doc bigint, variant bigint, first bigint, n bigint, bytes binary")
+    return docs.mapInArrow(work, CORES)
 
 
 def _hot_windows(batch: pa.RecordBatch, raw: np.ndarray, bounds: np.ndarray, doc: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
-    """The windows of hot anchors as pieces of one window: the earliest of equal ones, and runs of the others."""
+    """The windows of hot anchors as runs of one window: the earliest of equal ones, and settled runs of the others."""
     row, at = np.repeat(np.arange(len(n)), n), gather(first, n)
     place = bounds[doc[row]] + at
     hashed = _hash_runs(raw, place, length)
@@ -270,14 +269,60 @@ def _hot_windows(batch: pa.RecordBatch, raw: np.ndarray, bounds: np.ndarray, doc
     later = (owner != owner[head]) | (at != at[head])
     runs = joined({"doc": owner[later], "variant": variant[later], "first": at[later], "n": np.ones(later.sum(), np.int64)})
     runs = {c: runs[c] for c in ("doc", "variant", "first", "n")}
-    yield pa.RecordBatch.from_pydict({"core": mix(runs["doc"].astype(np.uint64)).view(np.int64), **runs, "bytes": pa.nulls(len(runs["n"]), pa.binary())})
+    yield pa.RecordBatch.from_pydict({"core": mix(runs["doc"].astype(np.uint64)).view(np.int64), **runs, "settled": np.ones(len(runs["n"]), bool)})
     keep = ~later
     yield pa.RecordBatch.from_pydict({
         "core": mix(hashed[keep] + np.uint64(ODD)).view(np.int64), "doc": owner[keep], "variant": variant[keep],
-        "first": at[keep], "n": np.ones(keep.sum(), np.int64), "bytes": binary_column(windows[keep].reshape(-1), np.full(keep.sum(), length)),
+        "first": at[keep], "n": np.ones(keep.sum(), np.int64), "settled": np.zeros(keep.sum(), bool),
     })
 
 
+def _shared(cores: DataFrame) -> DataFrame:
+    """The settled runs, and those whose core another run has too; repeated rows come once. Sorted by core, the rows stream by."""
+    names = [c.split()[0] for c in CORES.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = {c: np.empty(0, bool if c == "settled" else np.int64) for c in names}, False  # the last row, and whether one before it has its core
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: np.concatenate([held[c], batch.column(c).to_numpy(zero_copy_only=False)]) for c in names}
+            new = np.append(True, ~np.all([v[1:] == v[:-1] for v in rows.values()], axis=0))
+            rows = {c: v[new] for c, v in rows.items()}
+            same = rows["core"][1:] == rows["core"][:-1]
+            before = np.append(known, same)
+            keep = before[:-1] | same | rows["settled"][:-1]
+            yield pa.RecordBatch.from_pydict({c: v[:-1][keep] for c, v in rows.items()})
+            held, known = {c: v[-1:] for c, v in rows.items()}, bool(before[-1])
+        if len(held["core"]) and (known or held["settled"][0]):
+            yield pa.RecordBatch.from_pydict(held)
+
+    return cores.repartition("core").sortWithinPartitions("core", "settled", "doc", "variant", "first", "n").mapInArrow(work, CORES)
+
+
+def _pieces(docs: DataFrame, length: int) -> DataFrame:
+    """The wanted runs of each document with the bytes of their windows; settled ones come without bytes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unpacked(batches, "text"):
+            raw, bounds = utf8(batch.column("text"))
+            wanted = batch.column("wanted")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
+            items = wanted.flatten()
+            core, first, n = (np.asarray(items.field(c)) for c in ("core", "first", "n"))
+            settled = items.field("settled").to_numpy(zero_copy_only=False).astype(bool)
+            for a in range(0, len(owner), RUNS):
+                use = slice(a, a + RUNS)
+                of, size = owner[use], np.where(settled[use], 0, n[use] + length - 1)
+                data = binary_column(raw[gather(bounds[of] + first[use], size)], size)
+                yield pa.RecordBatch.from_pydict({
+                    "core": core[use], "doc": batch.column("doc").take(pa.array(of)), "variant": batch.column("variant").take(pa.array(of)),
+                    "first": first[use], "n": n[use], "bytes": pc.if_else(pa.array(settled[use]), pa.scalar(None, pa.binary()), data),
+                })
+
+    return docs.mapInArrow(work, "core bigint, doc bigint, variant bigint, first bigint, n bigint, bytes binary")
+
+
 def _hash_runs(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Hash of `size` bytes from each start."""
     total = np.zeros(len(starts), np.uint64)
@@ -384,7 +429,7 @@ def _measure(marked: DataFrame, length: int) -> DataFrame:
     """Cut the covered bytes out of every text and count them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches, "text"):
             raw, bounds = utf8(batch.column("text"))
             size = np.diff(bounds)
             covered = cover(raw, bounds, batch.column("runs"), batch.column("copy"), length)
@@ -410,7 +455,7 @@ def _firsts(texts: DataFrame) -> DataFrame:
     return marked.select(F.col("doc").alias("first_doc"), F.col("text_hash").alias("hash"), F.when(F.col("several"), F.col("text_hash")).otherwise(0).alias("variant"))
 
 
-# All joins of the texts go by doc alone, so that they share one exchange of the texts; which of
+# All joins of the texts go by doc alone, so that they share one exchange of the packed texts; which of
 # several texts of one doc_id is meant is left to a condition that is no equality of two columns.
 def _same_text() -> Column:
     return (F.col("doc") == F.col("first_doc")) & (F.col("text_hash").bitwiseXOR(F.col("hash")) == 0)
@@ -421,19 +466,21 @@ def _of_variant() -> Column:
 
 
 def _dealt(texts: DataFrame, firsts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """What `_meet` settles or leaves waiting, and the pieces of what waits."""
+    """What `_meet` settles or leaves waiting, and the pieces of what waits and may match."""
     more = [c for c in texts.columns if c == "rest"]  # read by no one, but all joins then share one exchange
     found = _find_anchors(texts.join(firsts, _same_text()).select("doc", "text", "variant", *more), length)
     met = _meet(found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "first", "variant"), HOT)
 
     hot = (F.col("kind") == WAITS_HOT).alias("hot")
     waits = met.where(f"kind <> {REMOVED}").groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("gram", "first", "n", "offset", hot)).alias("waits"))
-    return met, _pieces(texts.join(waits, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "waits", *more), length)
+    cores = _cores(texts.join(waits, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "waits", *more), length)
+
+    wanted = _shared(cores).groupBy(F.col("doc").alias("of_doc"), F.col("variant").alias("of_variant")).agg(F.collect_list(F.struct("core", "first", "n", "settled")).alias("wanted"))
+    return met, _pieces(texts.join(wanted, _of_variant()).select("doc", "text", F.col("of_variant").alias("variant"), "wanted", *more), length)
 
 
 def _found(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """Runs of covered starts: of_doc, of_variant, runs."""
-    small_batches(texts.sparkSession)
     if length < GRAM + SPREAD or length > 1000:
         raise ValueError(f"length must lie between {GRAM + SPREAD} and 1000")
     met, pieces = _dealt(texts, firsts, length)
@@ -444,8 +491,10 @@ def _found(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
 
 
 def _marked(texts: DataFrame, length: int) -> DataFrame:
-    """`texts` with the runs to cut (`runs`) and whether it is a later copy of a whole text (`copy`)."""
+    """`texts`, packed, with the runs to cut (`runs`) and whether it is a later copy of a whole text (`copy`)."""
+    small_batches(texts.sparkSession)
     firsts = _firsts(texts)
+    texts = packed(texts, "text")
     runs = _found(texts, firsts, length)
     marked = texts.join(runs, _of_variant(), "left").join(firsts, _same_text(), "left")
     none = F.expr("cast(array() as array<struct<first: bigint, n: bigint>>)")
@@ -464,12 +513,12 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Bytes of a character that a cut leaves incomplete go with it.
     """
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("rest"), "doc_id", "text")
-    marked = _marked(_keyed(packed).select("doc", "text", "text_hash", "rest"), length).select("rest", "text", "runs", "copy")
-    schema = marked.select("rest", "text").schema
+    texts = _keyed(docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("rest"), "doc_id", "text")).select("doc", "text", "text_hash", "rest")
+    marked = _marked(texts, length).select("rest", "text", "runs", "copy")
+    schema = texts.select("rest", "text").schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches, "text"):
             raw, bounds = utf8(batch.column("text"))
             covered = cover(raw, bounds, batch.column("runs"), batch.column("copy"), length)
             kept = raw[~covered].tobytes()

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from strataloom.llm import repeats
+from strataloom.llm import batches, repeats
 from strataloom.llm.queries import QUERIES
 
 
@@ -119,3 +119,36 @@ def test_hot_passages_are_dealt_out(spark, monkeypatch, hot):
     texts = repeats._keyed(docs).select("doc", "text", "text_hash").cache()
     pieces = repeats._dealt(texts, repeats._firsts(texts), 100)[1].where("bytes IS NOT NULL")
     assert max(r["count"] for r in pieces.groupBy("core").count().collect()) < 40
+
+
+def test_bytes_are_sent_only_where_windows_may_match(spark):
+    """Texts that share an anchor but no window of 100 bytes meet by name alone, repeated rows and ids too."""
+    rnd = random.Random(4)
+    word = prose(rnd, 60).encode()[:60].decode(errors="ignore")
+    rows = [(i, prose(rnd, 60) + word + prose(rnd, 60)) for i in range(40)]
+    rows += [rows[0], rows[0], (rows[1][0], prose(rnd, 60) + word + prose(rnd, 60))]
+    both = [(100 + i, prose(rnd, 30) + rows[2][1][:300] + word + str(i)) for i in range(2)]
+
+    def sent(rows):
+        texts = repeats._keyed(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).select("doc", "text", "text_hash").cache()
+        met, pieces = repeats._dealt(texts, repeats._firsts(texts), 100)
+        assert met.where(f"kind <> {repeats.REMOVED}").count() > 40
+        return {r.doc for r in pieces.select("doc").distinct().collect()}
+
+    assert sent(rows) == set()
+    assert sent(rows + both) == {2, 100, 101}
+    docs = spark.createDataFrame(rows + both, "doc_id bigint, text string").repartition(3)
+    assert answer(repeats.remove_repeats(docs)) == brute(rows + both)
+
+
+def test_texts_move_packed(spark, monkeypatch):
+    rnd = random.Random(6)
+    texts = ["", "a" * 300_000, "é" * 7, *(prose(rnd, 400) for _ in range(30))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    moved = repeats._marked(repeats._keyed(docs).select("doc", "text", "text_hash"), 100).select("doc", "text")
+    assert dict(moved.dtypes)["text"] == "binary"
+    monkeypatch.setattr(batches, "UNPACKED", 10_000)
+    parts = list(batches.unpacked(moved.toArrow().combine_chunks().to_batches(), "text"))
+    assert {i: t.decode() for p in parts for i, t in zip(p.column("doc").to_pylist(), p.column("text").to_pylist(), strict=True)} == dict(enumerate(texts))
+    assert all(p.num_rows == 1 or sum(map(len, p.column("text").to_pylist())) <= 10_000 for p in parts) and len(parts) > 3
+    assert sum(map(len, moved.toPandas()["text"])) < sum(len(t.encode()) for t in texts) / 2
