@@ -1,14 +1,18 @@
 """Nearest neighbours by cosine: a block matrix join over int8 products with error bounds.
 
-Vectors are dealt into blocks by a hash of vec_id. Unit vectors are rounded to
-int8 with a scale each, and the lengths of the rounded vector and of the
-rounding error are kept, so the product of two rounded vectors bounds the true
-cosine from both sides: |u.w - u'.w'| <= |e| |w| + |u'| |f|. Every query block
-meets every candidate block as one tile: the tile of int8 products gives the
-bounds, pairs that cannot be among the k nearest are dropped, the others are
-recomputed in double precision from the original vectors and kept in a heap of
-k per query. A task goes through the tiles of one query block after the other
-with the same heaps; heaps of different tasks are merged at the end.
+Unit vectors are rounded to int8 with a scale each, and the lengths of the
+rounded vector and of the rounding error are kept, so the product of two rounded
+vectors bounds the true cosine from both sides: |u.w - u'.w'| <= |e| |w| + |u'| |f|.
+Vectors are dealt into groups by a hash of vec_id. Every group of queries meets
+every group of candidates in one exchange and without a join: rows move as they
+were read, queries come before candidates, and what a tile needs is derived where
+it is used. There are as many groups of candidates as keep the copies of the
+queries below the size of the candidates, and as many of queries as fit a task.
+A task holds the queries of its group in blocks and lets the candidates stream by,
+block by block. Each pair of blocks is one tile: the int8 products give the bounds,
+pairs that cannot be among the k nearest are dropped, the others are recomputed in
+double precision from the original vectors, and the k best of each query stay. The
+best of different tasks are merged at the end.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite values
 take no part, nor do rows without vec_id. Of rows that repeat a vec_id the
@@ -20,19 +24,19 @@ columns are not looked at.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from strataloom.llm.batches import small_batches
-from strataloom.session import new_dir
 
 CANDIDATES, QUERIES = 4096, 1024
-BLOCK = "block bigint, size int, ids binary, vectors binary, codes binary, scales binary, errors binary, lengths binary"
+HELD = 1 << 24  # values of query vectors in one group
+SPREAD = 16  # groups of candidates, if there are as many blocks, even where the queries are many
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -55,106 +59,143 @@ def cosines(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.clip((left * right).sum(1) / np.sqrt((left * left).sum(1) * (right * right).sum(1)), -1, 1)
 
 
-def _blocks(vectors: DataFrame, count: int) -> DataFrame:
-    """One row per block and vector length, with everything a tile needs."""
-
-    def build(table: pa.Table) -> pa.Table:
-        ids = table.column("vec_id").to_numpy()
-        rows = table.column("embedding").to_pylist()
-        best: dict[int, list[float]] = {}
-        for i, row in zip(ids.tolist(), rows, strict=True):
-            if i not in best or (len(row), row) < (len(best[i]), best[i]):
-                best[i] = row
-        block = int(table.column("block")[0].as_py()) if table.num_rows else 0
-        out = []
-        for size in sorted({len(v) for v in best.values()}):
-            own = sorted(i for i in best if len(best[i]) == size)
-            matrix = np.array([best[i] for i in own], np.float64)
-            codes, scale, error, length = quantised(matrix)
-            out.append({"block": block, "size": size, "ids": np.array(own, np.int64).tobytes(), "vectors": matrix.tobytes(), "codes": codes.tobytes(), "scales": scale.tobytes(), "errors": error.tobytes(), "lengths": length.tobytes()})
-        kinds = pa.schema([("block", pa.int64()), ("size", pa.int32()), *((c, pa.binary()) for c in ("ids", "vectors", "codes", "scales", "errors", "lengths"))])
-        return pa.Table.from_pylist(out, schema=kinds)
-
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)))
-    return dealt.groupBy("block").applyInArrow(build, BLOCK)
-
-
-def tile(query: dict, candidate: dict, heaps: dict[int, list[tuple[float, int]]], k: int) -> None:
-    """Put the candidates of one tile that may be among the k nearest into the heaps of its queries."""
-    product = (query["codes"].astype(np.float32) @ candidate["codes"].astype(np.float32).T).astype(np.float64)
-    product *= query["scales"][:, None] * candidate["scales"]
-    error = query["errors"][:, None] + query["lengths"][:, None] * candidate["errors"] + 1e-9
-    product[query["ids"][:, None] == candidate["ids"]] = -np.inf
-    floor = np.full(len(query["ids"]), -np.inf)
-    if product.shape[1] > k:
-        floor = np.partition(product - error, -k, axis=1)[:, -k]
-    for n, i in enumerate(query["ids"].tolist()):
-        if len(heaps[i]) == k:
-            floor[n] = max(floor[n], heaps[i][0][0])
-    product += error
-    at, of = np.nonzero((product >= floor[:, None]) & (product > -np.inf))
-    if not len(at):
-        return
-    score = np.concatenate([cosines(query["vectors"][at[a : a + 65536]], candidate["vectors"][of[a : a + 65536]]) for a in range(0, len(at), 65536)])
-    ids = candidate["ids"][of]
-    by = np.lexsort((ids, -score, at))
-    at, score, ids = at[by], score[by], ids[by]
-    begin = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    rank = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
-    for n, s, c in zip(at[rank < k].tolist(), score[rank < k].tolist(), ids[rank < k].tolist(), strict=True):
-        heap = heaps[int(query["ids"][n])]
-        if len(heap) < k:
-            heapq.heappush(heap, (s, -c))
-        elif (s, -c) > heap[0]:
-            heapq.heapreplace(heap, (s, -c))
-
-
-def _unpack(row: dict, prefix: str) -> dict:
-    size = row["size"]
-    kinds = {"ids": np.int64, "vectors": np.float64, "codes": np.int8, "scales": np.float64, "errors": np.float64, "lengths": np.float64}
-    found = {c: np.frombuffer(row[prefix + c], kind) for c, kind in kinds.items()}
-    return found | {c: found[c].reshape(-1, size) for c in ("vectors", "codes")}
+class Block:
+    """Vectors of one length by vec_id, with what a tile needs of them."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.codes, self.scales, self.errors, self.lengths = quantised(vectors.astype(np.float64))
+
+
+class Queries(Block):
+    """A block of queries and the k best of each so far: scores from high to low, and vec_ids."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        super().__init__(ids, vectors)
+        self.k = k
+        self.best, self.of = np.full((len(ids), k), -np.inf), np.zeros((len(ids), k), np.int64)
+
+    def meet(self, candidate: Block) -> None:
+        """One tile: keep the candidates that are among the k nearest."""
+        width = self.codes.shape[1]
+        # One more column adds |u'| |f| to the product of u' and w'; what float32 may lose by that is below `slack`.
+        left = np.empty((len(self.ids), width + 1), np.float32)
+        right = np.empty((len(candidate.ids), width + 1), np.float32)
+        left[:, :-1], left[:, -1] = self.codes * self.scales[:, None], self.lengths
+        right[:, :-1], right[:, -1] = candidate.codes * candidate.scales[:, None], candidate.errors
+        slack = (width + 8) * 2.0**-21
+        upper = left @ right.T
+        _, own, same = np.intersect1d(self.ids, candidate.ids, assume_unique=True, return_indices=True)
+        upper[own, same] = -np.inf
+        margin, floor = self.errors + slack, self.best[:, -1]
+        if len(candidate.ids) > self.k and (floor == -np.inf).any():
+            # the true cosine is at least the upper bound less twice the error
+            reach = 2 * (margin + self.lengths * candidate.errors.max())
+            floor = np.maximum(floor, np.partition(upper, -self.k, axis=1)[:, -self.k] + margin - reach)
+        least = np.nextafter((floor - margin).astype(np.float32), np.float32(-np.inf))
+        at, of = np.nonzero((upper >= least[:, None]) & (upper > -np.inf))
+        if not len(at):
+            return
+        score = np.concatenate([cosines(self.vectors[at[a : a + 65536]].astype(np.float64), candidate.vectors[of[a : a + 65536]].astype(np.float64)) for a in range(0, len(at), 65536)])
+        row, column = np.nonzero(self.best > -np.inf)
+        at, score, ids = np.concatenate([row, at]), np.concatenate([self.best[row, column], score]), np.concatenate([self.of[row, column], candidate.ids[of]])
+        by = np.lexsort((ids, -score, at))
+        at, score, ids = at[by], score[by], ids[by]
+        begin = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        rank = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+        use = rank < self.k
+        self.best[at[use], rank[use]], self.of[at[use], rank[use]] = score[use], ids[use]
+
+    def found(self) -> pa.RecordBatch:
+        row, column = np.nonzero(self.best > -np.inf)
+        return pa.RecordBatch.from_pydict({"query_id": self.ids[row], "vec_id": self.of[row, column], "score": self.best[row, column]})
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, vec_ids and vectors of the rows of each length."""
+    column, ids = batch.column("embedding"), batch.column("vec_id").to_numpy()
+    bounds, values = np.asarray(column.offsets).astype(np.int64), np.asarray(column.values)
+    size = np.diff(bounds)
+    for n in np.unique(size).tolist():
+        use = np.flatnonzero(size == n)
+        yield n, ids[use], values[bounds[use][:, None] + np.arange(n)]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of `vectors` nearest to each row of `queries` but itself."""
     spark = vectors.sparkSession
     small_batches(spark)
+    plain = all(df.schema["embedding"].dataType == ArrayType(FloatType(), df.schema["embedding"].dataType.containsNull) for df in (vectors, queries))
 
     def usable(df: DataFrame) -> DataFrame:
         finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        return df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id IS NOT NULL AND size(embedding) > 0").where(finite & F.exists("embedding", lambda x: x != 0))
+        kind = "array<float>" if plain else "array<double>"
+        return df.select("vec_id", F.col("embedding").cast(kind).alias("embedding")).where("vec_id IS NOT NULL AND size(embedding) > 0").where(finite & F.exists("embedding", lambda x: x != 0))
 
-    def built(df: DataFrame, each: int) -> tuple[DataFrame, int]:
-        count = max(1, -(-df.count() // each))
-        path = new_dir(spark, "blocks")
-        _blocks(usable(df), count).write.parquet(path)
-        return spark.read.parquet(path), count
+    many = vectors.count()
+    few, held = queries.agg(F.count(F.lit(1)), F.sum(F.greatest(F.size("embedding"), F.lit(0)))).first()
+    groups = min(-(-many // CANDIDATES), max(SPREAD, many // max(few, 1))) or 1
+    query_groups = -(-(held or 0) // HELD) or 1
 
-    candidate, blocks = built(vectors, CANDIDATES)
-    query, _ = built(queries, QUERIES)
-    query = query.select("size", F.col("block").alias("query_block"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "codes", "scales", "errors", "lengths")])
-    grid = query.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    tiles = grid.join(candidate, ["block", "size"]).repartition("query_block", "block").sortWithinPartitions("query_block", "size", "block")
+    def dealt(df: DataFrame, own: str, count: int, other: str, copies: int, kind: int) -> DataFrame:
+        group = F.pmod(F.xxhash64("vec_id", F.lit(kind)), F.lit(count)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other)
+        return usable(df).select("vec_id", "embedding", group, F.lit(kind).alias("kind"), every).select("query_group", "own_group", "kind", "vec_id", "embedding")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
-        current: tuple[int, int] | None = None
+    both = dealt(queries, "query_group", query_groups, "own_group", groups, 0).union(dealt(vectors, "own_group", groups, "query_group", query_groups, 1))
+    order = ("query_group", "own_group", "kind", "vec_id", F.size("embedding"), "embedding")
+    met = both.repartition(2 * groups * query_groups, "query_group", "own_group").sortWithinPartitions(*order)
 
-        def flush() -> pa.RecordBatch:
-            found = [(i, -c, s) for i, heap in heaps.items() for s, c in heap]
-            return pa.RecordBatch.from_pydict({"query_id": pa.array([x[0] for x in found], pa.int64()), "vec_id": pa.array([x[1] for x in found], pa.int64()), "score": pa.array([x[2] for x in found], pa.float64())})
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[Queries]] = {}  # blocks of the group's queries by length
+        waiting: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}  # by kind and length, rows that do not fill a block yet
+        current, last = None, None
+
+        def settle(kind: int, size: int, whole: bool) -> None:
+            """Turn waiting rows into blocks; the rest waits on unless `whole`."""
+            most = CANDIDATES if kind else QUERIES
+            ids, rows = (np.concatenate(c) for c in zip(*waiting.pop((kind, size)), strict=True))
+            end = len(ids) if whole else len(ids) // most * most
+            for a in range(0, end, most):
+                part = ids[a : min(a + most, end)], rows[a : min(a + most, end)]
+                if not kind:
+                    held.setdefault(size, []).append(Queries(*part, k))
+                elif size in held:
+                    block = Block(*part)
+                    for query in held[size]:
+                        query.meet(block)
+            if end < len(ids):
+                waiting[kind, size] = [(ids[end:], rows[end:])]
+
+        def close(*kinds: int) -> None:
+            for kind, size in sorted(waiting):
+                if kind in kinds:
+                    settle(kind, size, True)
 
         for batch in batches:
-            for n in range(batch.num_rows):
-                row = batch.slice(n, 1).to_pylist()[0]
-                own = _unpack(row, "q_")
-                if current != (row["query_block"], row["size"]):
-                    yield flush()
-                    current, heaps = (row["query_block"], row["size"]), {i: [] for i in own["ids"].tolist()}
-                tile(own, _unpack(row, ""), heaps, k)
-        yield flush()
-
-    found = tiles.mapInArrow(work, "query_id bigint, vec_id bigint, score double")
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("query_group", "own_group", "kind", "vec_id")])
+            before = np.concatenate([key[:, :1] if last is None else last, key[:, :-1]], axis=1)
+            new = (key != before).any(0)  # of rows that repeat a vec_id the first
+            new[0] |= last is None
+            last = key[:, -1:]
+            begins = np.append(np.flatnonzero(np.append(True, (key[:3, 1:] != key[:3, :-1]).any(0))), batch.num_rows)
+            for a, b in zip(begins, begins[1:], strict=False):
+                group, kind = tuple(key[:2, a]), int(key[2, a])
+                if group != current:
+                    close(0, 1)
+                    yield from (query.found() for blocks in held.values() for query in blocks)
+                    current, held = group, {}
+                elif kind:
+                    close(0)
+                for size, ids, rows in _rows(batch.slice(a, b - a).filter(pa.array(new[a:b]))):
+                    waiting.setdefault((kind, size), []).append((ids, rows))
+                    if sum(len(x) for x, _ in waiting[kind, size]) >= (CANDIDATES if kind else QUERIES):
+                        settle(kind, size, False)
+        close(0, 1)
+        yield from (query.found() for blocks in held.values() for query in blocks)
+
+    found = met.select("query_group", "own_group", "kind", "vec_id", "embedding").mapInArrow(work, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

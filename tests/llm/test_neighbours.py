@@ -64,3 +64,19 @@ def test_odd_rows(spark, monkeypatch):
 def test_query(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     assert answer(QUERIES["op5_neighbours"](spark, FOLDER)) == near(brute(rows, [i for i, _ in rows if i % 50 == 0], 5))
+
+
+def test_tables_meet_without_a_join(spark, monkeypatch, plan_of):
+    """No side is broadcast or paired off by a join, however the sizes are judged; rows move as often as there are groups."""
+    monkeypatch.setattr(neighbours, "CANDIDATES", 8)
+    monkeypatch.setattr(neighbours, "QUERIES", 4)
+    monkeypatch.setattr(neighbours, "HELD", 60)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(300)] + [(7, [0.5] * 6)] * 9 + [(400 + i, [1.0, float(i)]) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(5)
+    rows = [(r.vec_id, list(r.embedding)) for r in vectors.collect()]
+    queries = vectors.where("vec_id % 9 = 0 OR vec_id = 7")
+    found = neighbours.nearest(vectors, queries, 5)
+    assert answer(found) == near(brute(rows, [i for i, _ in rows if i % 9 == 0 or i == 7], 5))
+    plan = plan_of(found, run=True)
+    assert "Join" not in plan and "Broadcast" not in plan
